@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml.feature import (
     OneHotEncoder, StandardScaler, StandardScalerModel, StringIndexer, VectorAssembler, VectorSlicer,
 )
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from overspend import fixed_values as fv
@@ -111,11 +112,10 @@ def scale_split(train: DataFrame, test: DataFrame, column: str = "features_raw",
 
 
 def keep_positions(df: DataFrame, vector: str, positions: Sequence[int], output: str) -> DataFrame:
-    """Chosen vector positions; a null vector becomes zeros of the vector's own length first."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
+    """Chosen vector positions; a null vector gives zeros."""
     size = max(positions) + 1
     zeros = F.array_repeat(F.lit(0.0), size)
-    filled = df.withColumn("_filled", array_to_vector(F.coalesce(vector_to_array(F.col(vector)), zeros)))
+    values = F.when(F.col(vector).isNotNull(), vector_to_array(F.col(vector))).otherwise(zeros)
+    filled = df.withColumn("_filled", array_to_vector(values))
     sliced = VectorSlicer(inputCol="_filled", outputCol=output, indices=list(positions)).transform(filled)
     return sliced.drop("_filled")

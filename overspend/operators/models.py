@@ -22,6 +22,7 @@ from overspend.operators.encode import (
     TargetEncoding, fit_target_encoding, frequency_encode, frequency_table, index_and_one_hot,
     require_few_labels, standard_scaler,
 )
+from overspend.session import shared_dir
 
 WORDS_PER_PARTITION = 2_000_000
 MAX_VOCABULARY_VALUES = (1 << 31) // 8
@@ -162,8 +163,7 @@ class PriceModel:
         require_few_labels(train, cls.CATEGORIES)
         text = PipelineModel(text_stages())
         tokens = text.transform(train.withColumn("label", F.log1p("valor_contrato"))).persist()
-        encoding = fit_target_encoding(tokens, "codigo_unspsc", "label", "codigo_unspsc_te_log")
-        frequency = frequency_table(tokens, "entidad")
+        encoding, frequency = cls._written_tables(tokens)
         vectors = word2vec(tokens, **(w2v or {})).fit(tokens)
         encoded = cls._encode(tokens, frequency, encoding)
         vectorised = vectors.transform(encoded)
@@ -177,12 +177,22 @@ class PriceModel:
         matrix = features.transform(vectorised).select("features", "label").persist()
         fitted = (regressor or forest()).fit(matrix)
         sigma = residual_sigma(fitted.transform(matrix)).first().sigma
-        overall = tokens.agg(F.avg("label")).first()[0]
-        encoding.overall = overall
         matrix.unpersist()
         tokens.unpersist()
         return cls(PipelineModel([*text.stages, vectors, *features.stages, fitted]), frequency, encoding, sigma, version)
 
+    @staticmethod
+    def _written_tables(tokens: DataFrame) -> tuple[TargetEncoding, DataFrame]:
+        """Both encodings as written tables, so that scoring never goes back to the training rows."""
+        spark = tokens.sparkSession
+        folder = shared_dir(spark, "encodings")
+        fitted = fit_target_encoding(tokens, "codigo_unspsc", "label", "codigo_unspsc_te_log")
+        fitted.table.write.parquet(f"{folder}/encoding")
+        frequency_table(tokens, "entidad").write.parquet(f"{folder}/frequency")
+        overall = tokens.agg(F.avg("label")).first()[0]
+        encoding = TargetEncoding(fitted.key, fitted.output, spark.read.parquet(f"{folder}/encoding"), overall)
+        return encoding, spark.read.parquet(f"{folder}/frequency")
+
     @staticmethod
     def _encode(rows: DataFrame, frequency: DataFrame, encoding: TargetEncoding) -> DataFrame:
         return encoding.apply(frequency_encode(rows, "entidad", frequency)).fillna(

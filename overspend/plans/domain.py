@@ -237,22 +237,22 @@ def judged_events(spark: SparkSession, folder: str, scale: str = "raw") -> DataF
 
 def _judged_sql(label: str) -> str:
     return f"""valid AS (SELECT *, {label} AS label FROM events WHERE value > 0),
-cut AS (SELECT quantile_disc(ts, 0.8) AS at FROM valid),
-overall AS (SELECT avg(label) AS m FROM valid WHERE ts <= (SELECT at FROM cut)),
+cut AS (SELECT quantile_disc(ts, 0.8) AS t80 FROM valid),
+overall AS (SELECT avg(label) AS m FROM valid WHERE ts <= (SELECT t80 FROM cut)),
 encoding AS (
   SELECT event_type, (count(label) * avg(label) + 50 * (SELECT m FROM overall)) / (count(label) + 50) AS prediction
-  FROM valid WHERE ts <= (SELECT at FROM cut) GROUP BY event_type),
+  FROM valid WHERE ts <= (SELECT t80 FROM cut) GROUP BY event_type),
 scored AS (
   SELECT v.*, coalesce(e.prediction, (SELECT m FROM overall)) AS prediction
   FROM valid v LEFT JOIN encoding e ON v.event_type = e.event_type),
-spread AS (SELECT stddev_samp(label - prediction) AS sigma FROM scored WHERE ts <= (SELECT at FROM cut)),
+spread AS (SELECT stddev_samp(label - prediction) AS sigma FROM scored WHERE ts <= (SELECT t80 FROM cut)),
 judged AS (
   SELECT *, CASE WHEN desviacion > sigma_threshold THEN 'ATIPICO' ELSE 'LIBRE' END AS anomaly_flag,
          CASE WHEN z_score > 4.5 THEN 'SEVERO' WHEN z_score > 3.5 THEN 'MODERADO' WHEN z_score > 2.8 THEN 'LEVE'
               ELSE 'NORMAL' END AS severity
   FROM (SELECT *, label - prediction AS desviacion, (label - prediction) / nullif((SELECT sigma FROM spread), 0)
                AS z_score, 2.8 * (SELECT sigma FROM spread) AS sigma_threshold
-        FROM scored WHERE ts > (SELECT at FROM cut)))"""
+        FROM scored WHERE ts > (SELECT t80 FROM cut)))"""
 
 
 JUDGED = _judged_sql("value")
