@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from overspend import fixed_values as fv
 from overspend.functions.scores import flag, scaled, severity, z_score
@@ -15,14 +15,13 @@ def residual_sigma(train_scored: DataFrame, label: str = "label", prediction: st
     return train_scored.agg(sigma.alias("sigma"), (sigma * fv.SIGMA_MULTIPLIER).alias("threshold"))
 
 
-def score_anomalies(scored: DataFrame, sigma: Column | float, label: str = "label", prediction: str = "prediction",
+def score_anomalies(scored: DataFrame, sigma: float, label: str = "label", prediction: str = "prediction",
                     multiplier: float = fv.SIGMA_MULTIPLIER) -> DataFrame:
     """Add deviation, limit, z-score, flag and severity."""
-    sigma = sigma if isinstance(sigma, Column) else F.lit(sigma)
     measured = scored.withColumn("desviacion", F.col(label) - F.col(prediction)).withColumn(
-        "sigma_threshold", multiplier * sigma)
+        "sigma_threshold", F.lit(multiplier * sigma))
     return measured.withColumns({
-        "z_score": z_score(F.col("desviacion"), sigma),
+        "z_score": z_score(F.col("desviacion"), F.lit(sigma)),
         "anomaly_flag": flag(F.col("desviacion"), F.col("sigma_threshold")),
     }).withColumn("severity", severity(F.col("z_score")))
 
@@ -39,7 +38,7 @@ def group_mean_scores(df: DataFrame, value: str, group: str, moment: str, scale:
 def detect_by_group(df: DataFrame, value: str, group: str, moment: str, scale: str = "raw") -> DataFrame:
     """Later rows judged by group means and residual deviation of earlier rows."""
     train, test = group_mean_scores(df, value, group, moment, scale)
-    return score_anomalies(test, residual_sigma(train).select("sigma").scalar())
+    return score_anomalies(test, residual_sigma(train).first().sigma)
 
 
 def stamp(df: DataFrame, model_version: str) -> DataFrame:
@@ -58,9 +57,10 @@ def gold_table(scored: DataFrame, value: str, model_version: str) -> DataFrame:
 
 
 def flag_counts(scored: DataFrame) -> DataFrame:
-    """Rows and share per flag; the shares refer to the same rows."""
+    """Rows and share per flag; the shares refer to the same rows (at most two counts meet in the window)."""
     counted = scored.groupBy("anomaly_flag").agg(F.count("*").alias("n"))
-    return counted.withColumn("pct", F.col("n") * 100.0 / scored.agg(F.count("*")).scalar())
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    return counted.withColumn("pct", F.col("n") * 100.0 / total)
 
 
 def anomalies_only(scored: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from overspend import fixed_values as fv
-from overspend.operators.lookup import attach_by_key
+from overspend.operators.lookup import BROADCAST_ROWS, attach_by_key, has_few_rows
 from overspend.operators.quantiles import time_quantile
 
 INDEX_LABELS = 100_000
@@ -45,31 +45,29 @@ class TargetEncoding:
     key: str
     output: str
     table: DataFrame
-    overall: Column | float
+    overall: float
+    few_keys: bool | None = None
 
     def apply(self, df: DataFrame, fill_unseen: bool = True) -> DataFrame:
         """Attach the encoding; unseen keys get the overall mean."""
-        joined = attach_by_key(df, self.table, self.key, "n_rows").drop("n_rows")
+        if self.few_keys is None:
+            self.few_keys = has_few_rows(self.table)
+        joined = attach_by_key(df, self.table, self.key, "n_rows", self.few_keys).drop("n_rows")
         if not fill_unseen:
             return joined
-        overall = self.overall if isinstance(self.overall, Column) else F.lit(self.overall)
-        return joined.withColumn(self.output, F.coalesce(F.col(self.output), overall))
+        return joined.withColumn(self.output, F.coalesce(F.col(self.output), F.lit(self.overall)))
 
 
 def fit_target_encoding(train: DataFrame, key: str, target: str, output: str | None = None,
                         m: float = fv.SMOOTHING) -> TargetEncoding:
-    """Aggregate the training rows once per key; the overall mean is a scalar subquery of the same plan."""
+    """One pass over two columns for the overall mean and the number of keys; the table itself stays lazy."""
     output = output or f"{key}_te"
-    overall = train.agg(F.avg(target)).scalar()
-    seen = F.count(target)
+    head = train.agg(F.avg(target).alias("overall"), F.approx_count_distinct(key).alias("keys")).first()
+    seen, mean = F.count(target), F.avg(target)
+    smoothed = (seen * mean + F.lit(m * head.overall)) / (seen + m)
     table = train.groupBy(key).agg(
-        F.count("*").alias("n_rows"),
-        seen.alias("_seen"),
-        F.avg(target).alias("_mean"),
-    )
-    smoothed = (F.col("_seen") * F.col("_mean") + m * overall) / (F.col("_seen") + m)
-    return TargetEncoding(key, output, table.select(
-        key, "n_rows", F.coalesce(smoothed, overall).alias(output)), overall)
+        F.count("*").alias("n_rows"), F.coalesce(smoothed, F.lit(head.overall)).alias(output))
+    return TargetEncoding(key, output, table, head.overall, head["keys"] <= BROADCAST_ROWS)
 
 
 def target_encode(df: DataFrame, key: str, target: str, m: float = fv.SMOOTHING) -> DataFrame:

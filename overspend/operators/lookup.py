@@ -38,17 +38,21 @@ def join_payment_name(df: DataFrame, code: str = "payment_type") -> DataFrame:
     return df.join(F.broadcast(names), F.col(code) == names.payment_id, "left_outer")
 
 
-def attach_by_key(facts: DataFrame, stats: DataFrame, key: str, count: str,
-                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def has_few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether a table has at most ``limit`` rows; counting stops one row beyond."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def attach_by_key(facts: DataFrame, stats: DataFrame, key: str, count: str, few: bool | None = None) -> DataFrame:
     """Left-join statistics that were aggregated per ``key``; ``count`` holds each key's row count.
 
-    Few keys: the table is broadcast, after its rows have been counted. Many keys: the keys that hold more
+    Few keys: the table is broadcast; unless ``few`` is given, its rows are counted first. Many keys: the keys that hold more
     than 1/1000 of all rows (so there are fewer than 1000 of them) are broadcast, and only the other rows meet
     the full table in a shuffle join. Rows already served, and rows without a key, are spread over the tasks
     of that join by a hash of their content, so no key can fill one task.
     """
     values = [name for name in stats.columns if name != key]
-    if stats.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if has_few_rows(stats) if few is None else few:
         return facts.join(F.broadcast(stats), key, "left")
 
     total = stats.agg(F.sum(count)).scalar()

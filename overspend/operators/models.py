@@ -24,7 +24,7 @@ from overspend.operators.encode import (
 )
 from overspend.session import shared_dir
 
-WORDS_PER_PARTITION = 2_000_000
+WORDS_PER_PARTITION = 50_000
 MAX_VOCABULARY_VALUES = (1 << 31) // 8
 
 
@@ -32,7 +32,8 @@ def word2vec(tokens: DataFrame, column: str = "palabras_filtradas", output: str
              partitions: int | None = None, **params) -> Word2Vec:
     """Word vectors trained in as many parallel parts as the words call for.
 
-    The default of one partition would train the whole text in one task. Spark holds the vocabulary's
+    The default of one partition would train the whole text in one task; here there is a part per 50,000 words,
+    and no more parts than the cluster has cores, since their vectors are merged after every iteration. Spark holds the vocabulary's
     vectors in one array, so a vocabulary too large for it is refused before training.
     """
     settings = fv.WORD2VEC | params
@@ -41,7 +42,8 @@ def word2vec(tokens: DataFrame, column: str = "palabras_filtradas", output: str
         F.col("count") >= settings["minCount"])
     if frequent.count() * settings["vectorSize"] > MAX_VOCABULARY_VALUES:
         raise ValueError("vocabulary too large for one model; raise minCount or lower vectorSize")
-    parts = partitions or max(1, -(-words // WORDS_PER_PARTITION))
+    cores = tokens.sparkSession.sparkContext.defaultParallelism
+    parts = partitions or max(1, min(-(-words // WORDS_PER_PARTITION), cores))
     return Word2Vec(inputCol=column, outputCol=output, numPartitions=parts, **settings)
 
 
@@ -118,14 +120,15 @@ def binary_metrics(scored: DataFrame, score: str = "rawPrediction", label: str =
 
 def compare_models(challenger: DataFrame, champion: DataFrame | None) -> DataFrame:
     """Metrics of both scored tables and the verdict: promote only when r2 rises and rmse falls."""
-    new = regression_metrics(challenger).select(F.col("r2").alias("new_r2"), F.col("rmse").alias("new_rmse"))
-    if champion is None:
-        return new.withColumns({"old_r2": F.lit(None).cast("double"), "old_rmse": F.lit(None).cast("double"),
-                                "verdict": F.lit("PROMOTED_FIRST")})
-    old = regression_metrics(champion)
-    both = new.withColumns({"old_r2": old.select("r2").scalar(), "old_rmse": old.select("rmse").scalar()})
-    better = (F.col("new_r2") > F.col("old_r2")) & (F.col("new_rmse") < F.col("old_rmse"))
-    return both.withColumn("verdict", F.when(better, "PROMOTED").otherwise("NOT_PROMOTED"))
+    new = regression_metrics(challenger).first()
+    old = regression_metrics(champion).first() if champion is not None else None
+    if old is None:
+        verdict = "PROMOTED_FIRST"
+    else:
+        verdict = "PROMOTED" if new.r2 > old.r2 and new.rmse < old.rmse else "NOT_PROMOTED"
+    row = (new.r2, new.rmse, old and old.r2, old and old.rmse, verdict)
+    return challenger.sparkSession.createDataFrame(
+        [row], "new_r2 double, new_rmse double, old_r2 double, old_rmse double, verdict string")
 
 
 def text_stages(text: str = "objeto_contrato", words: list[str] | None = None,
@@ -186,11 +189,10 @@ class PriceModel:
         """Both encodings as written tables, so that scoring never goes back to the training rows."""
         spark = tokens.sparkSession
         folder = shared_dir(spark, "encodings")
-        fitted = fit_target_encoding(tokens, "codigo_unspsc", "label", "codigo_unspsc_te_log")
-        fitted.table.write.parquet(f"{folder}/encoding")
+        encoding = fit_target_encoding(tokens, "codigo_unspsc", "label", "codigo_unspsc_te_log")
+        encoding.table.write.parquet(f"{folder}/encoding")
+        encoding.table = spark.read.parquet(f"{folder}/encoding")
         frequency_table(tokens, "entidad").write.parquet(f"{folder}/frequency")
-        overall = tokens.agg(F.avg("label")).first()[0]
-        encoding = TargetEncoding(fitted.key, fitted.output, spark.read.parquet(f"{folder}/encoding"), overall)
         return encoding, spark.read.parquet(f"{folder}/frequency")
 
     @staticmethod
@@ -214,7 +216,7 @@ class PriceModel:
         self.frequency.write.mode("overwrite").parquet(f"{path}/frequency")
         self.encoding.table.write.mode("overwrite").parquet(f"{path}/encoding")
         spark.createDataFrame(
-            [(self.sigma, float(self.encoding.overall), self.version)], "sigma double, overall double, version string",
+            [(self.sigma, self.encoding.overall, self.version)], "sigma double, overall double, version string",
         ).write.mode("overwrite").parquet(f"{path}/numbers")
 
     @classmethod

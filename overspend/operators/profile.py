@@ -212,14 +212,15 @@ def average_ranks(df: DataFrame, column: str, values_per_task: int = 1_000_000)
         counted = cutter.transform(counted)
     else:
         counted = counted.withColumn("_range", F.lit(0.0))
-    # One row per range: small enough for a single ordered window.
-    totals = counted.groupBy("_range").agg(F.sum("n").alias("_size"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
     inside = Window.partitionBy("_range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     running = counted.withColumn("_earlier", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    rank = F.col("_shift") + F.col("_earlier") + (F.col("n") + 1) / 2.0
-    return running.join(F.broadcast(shifts), "_range").select("value", "n", rank.alias("mean_rank"))
+    if pieces > 1:
+        # One row per range: few enough for a single ordered window.
+        totals = counted.groupBy("_range").agg(F.sum("n").alias("_size"))
+        before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        shifts = totals.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
+        running = running.join(F.broadcast(shifts), "_range").withColumn("_earlier", F.col("_earlier") + F.col("_shift"))
+    return running.select("value", "n", (F.col("_earlier") + (F.col("n") + 1) / 2.0).alias("mean_rank"))
 
 
 def spearman(df: DataFrame, first: str, second: str, values_per_task: int = 1_000_000) -> DataFrame:

@@ -19,8 +19,9 @@ from overspend.session import shared_dir
 
 @query("word2vec", f"WITH {FILTERED} SELECT doc_id, 100 AS dimension FROM filtered")
 def word2vec(spark, sf):
-    tokens = txt.with_tokens(clean_docs(spark, sf)).select("doc_id", "palabras_filtradas")
+    tokens = txt.with_tokens(clean_docs(spark, sf)).select("doc_id", "palabras_filtradas").persist()
     fitted = models.word2vec(tokens).fit(tokens)
+    tokens.unpersist()
     return fitted.transform(tokens).select("doc_id", F.size(vector_to_array("embedding_raw")).alias("dimension"))
 
 
@@ -92,8 +93,8 @@ def target_encode_split(spark, sf):
     return round_columns(encoded, ["codigo_unspsc_te_log"], 8)
 
 
-@query("temporal_split", f"""WITH {SPLIT} SELECT CASE WHEN fecha_firma <= t80 THEN 'train' ELSE 'test' END AS parte,
-  count(*) AS n, min(fecha_firma) AS desde, max(fecha_firma) AS hasta FROM contracts JOIN cut ON TRUE GROUP BY 1""")
+@query("temporal_split", f"""WITH {SPLIT} SELECT CASE WHEN fecha_firma <= (SELECT t80 FROM cut) THEN 'train' ELSE 'test' END
+  AS parte, count(*) AS n, min(fecha_firma) AS desde, max(fecha_firma) AS hasta FROM contracts GROUP BY 1""")
 def temporal_split(spark, sf):
     rows = contracts(spark, sf).select("fecha_firma")
     train, test, _ = encode.temporal_split(rows, "fecha_firma")
@@ -117,8 +118,9 @@ def assemble(spark, sf):
 @query("standardize", """WITH cut AS (SELECT quantile_disc(o_orderdate, 0.8) AS t80 FROM orders),
 s AS (SELECT avg(o_totalprice) AS m1, stddev_samp(o_totalprice) AS d1, avg(CAST(o_custkey AS DOUBLE)) AS m2,
         stddev_samp(CAST(o_custkey AS DOUBLE)) AS d2 FROM orders WHERE o_orderdate <= (SELECT t80 FROM cut))
-SELECT o_orderkey, round((o_totalprice - m1) / d1, 6) AS valor_z, round((o_custkey - m2) / d2, 6) AS entidad_z
-FROM orders JOIN s ON TRUE WHERE o_orderdate > (SELECT t80 FROM cut)""")
+SELECT o_orderkey, round((o_totalprice - (SELECT m1 FROM s)) / (SELECT d1 FROM s), 6) AS valor_z,
+  round((o_custkey - (SELECT m2 FROM s)) / (SELECT d2 FROM s), 6) AS entidad_z
+FROM orders WHERE o_orderdate > (SELECT t80 FROM cut)""")
 def standardize(spark, sf):
     rows = encode.assemble(table(spark, sf, "orders"), ["o_totalprice", "o_custkey"])
     train, test, _ = encode.temporal_split(rows, "o_orderdate")
@@ -309,15 +311,16 @@ def high_severity(spark, sf):
 
 @query("champion_challenger", f"""WITH {JUDGED}, base AS (SELECT value AS label, (SELECT m FROM overall) AS prediction
   FROM valid WHERE ts > (SELECT t80 FROM cut)),
-new AS (SELECT {METRICS} FROM judged), old AS (SELECT {METRICS} FROM base)
-SELECT new.r2 AS new_r2, new.rmse AS new_rmse, old.r2 AS old_r2, old.rmse AS old_rmse,
-  CASE WHEN new.r2 > old.r2 AND new.rmse < old.rmse THEN 'PROMOTED' ELSE 'NOT_PROMOTED' END AS verdict
-FROM new JOIN old ON TRUE""")
+old AS (SELECT {METRICS} FROM base),
+paired AS (SELECT r2 AS new_r2, rmse AS new_rmse, (SELECT r2 FROM old) AS old_r2, (SELECT rmse FROM old) AS old_rmse
+  FROM (SELECT {METRICS} FROM judged))
+SELECT *, CASE WHEN new_r2 > old_r2 AND new_rmse < old_rmse THEN 'PROMOTED' ELSE 'NOT_PROMOTED' END AS verdict
+FROM paired""")
 def champion_challenger(spark, sf):
     """Group means challenge the overall mean."""
     train, test = anomaly.group_mean_scores(table(spark, sf, "events"), "value", "event_type", "ts")
-    overall = train.agg(F.avg("label")).scalar()
-    report = models.compare_models(test, test.withColumn("prediction", overall))
+    overall = train.agg(F.avg("label")).first()[0]
+    report = models.compare_models(test, test.withColumn("prediction", F.lit(overall)))
     return round_columns(round_columns(report, ["new_r2", "old_r2"], 8), ["new_rmse", "old_rmse"])
 
 

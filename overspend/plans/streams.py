@@ -109,7 +109,8 @@ def stream_checkpoint(spark, sf):
   fecha_firma, estado_contrato, anno, "partition", "offset" FROM silver""")
 def stream_to_silver(spark, sf):
     folder = shared_dir(spark, "silver-stream")
-    jobs.run(jobs.silver_stream(record_stream(spark, sf), f"{folder}/table", f"{folder}/checkpoint"))
+    buckets = writers.bucket_count(table(spark, sf, "orders").count())
+    jobs.run(jobs.silver_stream(record_stream(spark, sf), f"{folder}/table", f"{folder}/checkpoint", buckets))
     return writers.read_upserted(spark, f"{folder}/table").select(
         "id_contrato", "objeto_contrato", "entidad", "valor_contrato", "duracion_dias", "fecha_firma",
         "estado_contrato", "anno", "partition", "offset")

@@ -20,9 +20,9 @@ from overspend.session import shared_dir
 from overspend.sources import readers, writers
 
 
-@query("scan_parquet", "SELECT * FROM nation")
+@query("scan_parquet", "SELECT * FROM orders")
 def scan_parquet(spark, sf):
-    return readers.scan(spark, f"{sf}/nation.parquet")
+    return readers.scan(spark, f"{sf}/orders.parquet")
 
 
 @query("scan_parquet_multi", """SELECT CAST(month(o_orderdate) AS INTEGER) AS mes, count(*) AS n,
@@ -111,9 +111,10 @@ def silver_upsert(spark, sf):
     """First load, a second batch with changes and new keys, and the second batch repeated."""
     folder = shared_dir(spark, "silver")
     first, second = _arrivals(spark, sf)
-    writers.upsert(first, folder, "id", ["position"], batch_id=0)
-    writers.upsert(second, folder, "id", ["position"], batch_id=1)
-    writers.upsert(second, folder, "id", ["position"], batch_id=1)
+    buckets = writers.bucket_count(table(spark, sf, "orders").count())
+    for number, batch in enumerate([first, second]):
+        writers.upsert(batch, folder, "id", ["position"], number, buckets)
+    writers.upsert(second, folder, "id", ["position"], 1, buckets)
     return writers.read_upserted(spark, folder).select("id", "valor")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from overspend.session import path_exists
 
-BUCKETS = 64
+ROWS_PER_BUCKET = 1_000_000
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -40,11 +40,16 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return last.select("row.*")
 
 
+def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets for a table expected to hold ``rows`` rows; fixed for the life of the table."""
+    return max(8, -(-rows // rows_per_bucket))
+
+
 def _bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def upsert(source: DataFrame, path: str, key: str, order: list[str], batch_id: int, buckets: int = BUCKETS) -> None:
+def upsert(source: DataFrame, path: str, key: str, order: list[str], batch_id: int, buckets: int) -> None:
     """Insert new keys and replace known ones in a Parquet table laid out by key bucket.
 
     Only buckets that the batch touches are read and rewritten. Their new content is first written in full to

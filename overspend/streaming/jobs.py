@@ -40,10 +40,14 @@ def batch_stream(df: DataFrame, handle: Callable[[DataFrame, int], None], checkp
             .trigger(availableNow=True).start())
 
 
-def silver_stream(records: DataFrame, path: str, checkpoint: str, strict: bool = False) -> StreamingQuery:
+def silver_stream(records: DataFrame, path: str, checkpoint: str, buckets: int, strict: bool = False) -> StreamingQuery:
     """Topic records to parsed, valid contracts, upserted by id; a repeated batch changes nothing."""
     silver = to_silver(parse_records(records), strict)
-    return batch_stream(silver, lambda rows, number: upsert(rows, path, "id_contrato", ARRIVAL, number), checkpoint)
+
+    def handle(rows: DataFrame, number: int) -> None:
+        upsert(rows, path, "id_contrato", ARRIVAL, number, buckets)
+
+    return batch_stream(silver, handle, checkpoint)
 
 
 def replace_table(path: str) -> Callable[[DataFrame, int], None]:
