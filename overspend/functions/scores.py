@@ -55,7 +55,7 @@ def tip_category(tip: Column, total: Column) -> Column:
 
 
 @F.udf(T.StringType())
-def tip_category_udf(tip: float | None, total: float | None) -> str:
+def tip_category_udf(tip, total):
     """Row-at-a-time form of ``tip_category``, kept only as the user-function example."""
     if not total:
         return "N/A"

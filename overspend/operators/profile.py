@@ -58,14 +58,12 @@ def variance_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def frequency_tables(df: DataFrame, dimensions: Sequence[str]) -> DataFrame:
     """Value counts of every dimension from a single scan (one grouping set per dimension)."""
-    texts = df.select([F.col(d).cast("string").alias(d) for d in dimensions])
-    sets = [[F.col(d)] for d in dimensions]
-    counted = texts.groupingSets(sets, *[F.col(d) for d in dimensions]).agg(
-        F.count("*").alias("n"),
-        *[F.grouping(d).alias(f"_{d}") for d in dimensions],
-    )
-    picked = [F.when(F.col(f"_{d}") == 0, F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")))
-              for d in dimensions]
+    names = [f"_d{i}" for i in range(len(dimensions))]
+    texts = df.select([F.col(d).cast("string").alias(name) for d, name in zip(dimensions, names)])
+    counted = texts.groupingSets([[F.col(name)] for name in names], *[F.col(name) for name in names]).agg(
+        F.count("*").alias("n"), *[F.grouping(name).alias(f"{name}_out") for name in names])
+    picked = [F.when(F.col(f"{name}_out") == 0, F.struct(F.lit(d).alias("dimension"), F.col(name).alias("value")))
+              for d, name in zip(dimensions, names)]
     return counted.select(F.coalesce(*picked).alias("p"), "n").select("p.dimension", "p.value", "n")
 
 
@@ -163,9 +161,19 @@ def partition_profile(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count("*").alias("n"))
 
 
+def pearson(a: str, b: str) -> Column:
+    """Pearson r over rows that have both values; null when one of them never varies.
+
+    The built-in ``corr`` divides by zero there, which is an error in ANSI mode.
+    """
+    x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
+    y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Pearson r of each feature with the target, one pass."""
-    return _rows(df, {f: {"r": F.corr(F.col(f), F.col(target))} for f in features}, "feature")
+    return _rows(df, {f: {"r": pearson(f, target)} for f in features}, "feature")
 
 
 def select_features(correlated: DataFrame, threshold: float = fv.MIN_CORRELATION) -> DataFrame:
