@@ -134,17 +134,17 @@ def compare_models(challenger: DataFrame, champion: DataFrame | None) -> DataFra
 def text_stages(text: str = "objeto_contrato", words: list[str] | None = None,
                 min_length: int = fv.MIN_TOKEN_LENGTH) -> list:
     """Normalise, split, drop stopwords and short tokens, as stages that can be saved with a model."""
-    clean = (f"trim(regexp_replace(regexp_replace(translate(lower({text}), '{fv.ACCENTED}', '{fv.UNACCENTED}'), "
-             r"'[^a-z0-9\\s]', ' '), '\\s+', ' '))")
+    clean = (f"trim(regexp_replace(translate(lower({text}), '{fv.ACCENTED}', '{fv.UNACCENTED}'), "
+             "'[^a-z0-9]+', ' '))")
+    long_words = f"filter(palabras_sin_stopwords, x -> length(x) >= {min_length})"
     return [
-        SQLTransformer(statement=f"SELECT * FROM (SELECT *, {clean} AS objeto_limpio FROM __THIS__) "
-                                 f"WHERE length(objeto_limpio) >= {fv.MIN_TEXT_LENGTH}"),
+        SQLTransformer(statement=f"SELECT *, explode(filter(array({clean}), x -> length(x) >= {fv.MIN_TEXT_LENGTH})) "
+                                 "AS objeto_limpio FROM __THIS__"),
         Tokenizer(inputCol="objeto_limpio", outputCol="palabras"),
         StopWordsRemover(inputCol="palabras", outputCol="palabras_sin_stopwords",
                          stopWords=stopwords(fv.STOPWORDS_MEDIUM) if words is None else words),
-        SQLTransformer(statement="SELECT * FROM (SELECT *, filter(palabras_sin_stopwords, x -> length(x) >= "
-                                 f"{min_length}) AS palabras_filtradas FROM __THIS__) "
-                                 "WHERE size(palabras_filtradas) > 0"),
+        SQLTransformer(statement=f"SELECT *, explode(filter(array({long_words}), x -> size(x) > 0)) "
+                                 "AS palabras_filtradas FROM __THIS__"),
     ]
 
 

@@ -15,6 +15,7 @@ from overspend.plans.domain import (
 from overspend.plans.registry import query
 from overspend.plans.values import FILTERED, clean_docs
 from overspend.session import shared_dir
+from overspend.sources.readers import even_out
 
 
 @query("word2vec", f"WITH {FILTERED} SELECT doc_id, 100 AS dimension FROM filtered")
@@ -181,7 +182,7 @@ def explained_variance(spark, sf):
 def _price_rows(spark, sf):
     """Line items with their order date as rows for a price regression."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    joined = table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = even_out(table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
     rows = joined.select("o_orderdate", "l_quantity", "l_discount", "l_tax", "l_partkey",
                          F.log1p("l_extendedprice").alias("label"), F.col("l_extendedprice").alias("valor_contrato"))
     assembled = encode.assemble(rows, ["l_quantity", "l_discount", "l_tax", "l_partkey"])
@@ -250,7 +251,7 @@ CLUSTERED = ["hora_del_dia", "dia_semana", "trip_distance", "duracion_minutos"]
 
 
 def _clustered(spark, sf):
-    cleaned = trip_ops.clean_trips(trips(spark, sf)).select(*CLUSTERED, "propina_pct")
+    cleaned = even_out(trip_ops.clean_trips(trips(spark, sf)).select(*CLUSTERED, "propina_pct"))
     return models.trip_clusters(CLUSTERED).fit(cleaned).transform(cleaned)
 
 
@@ -333,7 +334,7 @@ def sample(spark, sf):
 @query("train_and_score")
 def train_and_score(spark, sf):
     """Fit the price model on earlier documents, save it, load it and judge the later documents."""
-    train, test, _ = encode.temporal_split(doc_contracts(spark, sf), "fecha_firma")
+    train, test, _ = encode.temporal_split(even_out(doc_contracts(spark, sf)), "fecha_firma")
     folder = shared_dir(spark, "price-model")
     models.PriceModel.fit(train).save(folder)
     return models.PriceModel.load(spark, folder).detect(test)

@@ -18,6 +18,7 @@ from overspend.plans.domain import (
     sql_rows, table, trips,
 )
 from overspend.plans.registry import query
+from overspend.sources.readers import even_out
 
 NORMAL = (f"trim(regexp_replace(regexp_replace(translate(lower(text), '{fv.ACCENTED}', '{fv.UNACCENTED}'), "
           r"'[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g'))")
@@ -31,7 +32,7 @@ FILTERED = TOKENS + f""", filtered AS (SELECT * FROM (
 
 
 def clean_docs(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = even_out(table(spark, sf, "documents").select("doc_id", "text"))
     return txt.with_clean_text(docs, "text").drop("text")
 
 
