@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from overspend.functions import text as txt
 from overspend.operators import anomaly, encode, models, profile, trips as trip_ops
+from overspend.operators.lookup import attach_by_key
 from overspend.plans.domain import (
     CONTRACTS, DOCS, JUDGED, JUDGED_LOG, contracts, doc_contracts, judged_events, round_columns, rounded, table, trips,
 )
@@ -182,12 +183,12 @@ def explained_variance(spark, sf):
 def _price_rows(spark, sf):
     """Line items with their order date as rows for a price regression."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    joined = even_out(table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
+    joined = table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     rows = joined.select("o_orderdate", "l_quantity", "l_discount", "l_tax", "l_partkey",
                          F.log1p("l_extendedprice").alias("label"), F.col("l_extendedprice").alias("valor_contrato"))
     assembled = encode.assemble(rows, ["l_quantity", "l_discount", "l_tax", "l_partkey"])
     train, test, _ = encode.temporal_split(assembled, "o_orderdate")
-    train, test, _ = encode.scale_split(train, test)
+    train, test, _ = encode.scale_split(even_out(train), test)
     return train, test
 
 
@@ -240,8 +241,8 @@ SELECT round(sum((fpr - f0) * (recall + r0) / 2), 6) AS area_under_roc,
 def binary_metrics(spark, sf):
     """Quality predicted by the mean quality of a document's source."""
     rows = _labelled_docs(spark, sf).select("source", F.col("label").cast("double").alias("label"))
-    means = rows.groupBy("source").agg(F.avg("label").alias("score"))
-    scored = rows.join(means, "source").persist()
+    means = rows.groupBy("source").agg(F.avg("label").alias("score"), F.count("*").alias("n_rows"))
+    scored = attach_by_key(rows, means, "source", "n_rows").persist()
     metrics = round_columns(models.binary_metrics(scored, "score"), ["area_under_roc", "area_under_pr"])
     scored.unpersist()
     return metrics
@@ -334,7 +335,7 @@ def sample(spark, sf):
 @query("train_and_score")
 def train_and_score(spark, sf):
     """Fit the price model on earlier documents, save it, load it and judge the later documents."""
-    train, test, _ = encode.temporal_split(even_out(doc_contracts(spark, sf)), "fecha_firma")
+    train, test, _ = encode.temporal_split(doc_contracts(spark, sf), "fecha_firma")
     folder = shared_dir(spark, "price-model")
-    models.PriceModel.fit(train).save(folder)
+    models.PriceModel.fit(even_out(train)).save(folder)
     return models.PriceModel.load(spark, folder).detect(test)

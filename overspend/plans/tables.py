@@ -56,7 +56,7 @@ def read_clean_dataset(spark, sf):
 
 
 @query("literal_table", f"""WITH {FARES}, pagos(payment_id, nombre_pago) AS (VALUES {PAYMENT_ROWS})
-SELECT payment_id, nombre_pago, count(payment_type) AS n FROM pagos LEFT JOIN fares ON payment_type = payment_id
+SELECT CAST(payment_id AS BIGINT) AS payment_id, nombre_pago, count(payment_type) AS n FROM pagos LEFT JOIN fares ON payment_type = payment_id
 GROUP BY ALL""")
 def literal_table(spark, sf):
     used = fares(spark, sf).groupBy("payment_type").agg(F.count("*").alias("n"))
