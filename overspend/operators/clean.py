@@ -16,11 +16,11 @@ def parse_records(records: DataFrame, schema: T.StructType = schemas.CONTRACT,
     """Unpack JSON messages next to their offset, partition and message time.
 
     A message that is not JSON gives null fields; a field of the wrong type is null and its siblings stay.
+    Fields taken out of a struct column, and filters on them, would each parse the message again; unpacking an
+    array that holds the struct parses it once.
     """
-    parsed = records.select(
-        F.from_json(F.col("value").cast("string"), schema).alias("data"),
-        "offset", "partition", F.col("timestamp").alias(time_name))
-    return parsed.select("data.*", "offset", "partition", time_name)
+    message = F.from_json(F.col("value").cast("string"), schema)
+    return records.select(F.inline(F.array(message)), "offset", "partition", F.col("timestamp").alias(time_name))
 
 
 def is_valid_contract() -> Column:

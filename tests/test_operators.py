@@ -183,11 +183,13 @@ def test_bad_messages(spark):
         (b'{"id_contrato": "2", "objeto_contrato": "obra", "valor_contrato": 5, "fecha_firma": "2024-01-04T00:00:00.000"}', 0, 2),
         (b'{"id_contrato": "3", "objeto_contrato": " ", "valor_contrato": 5, "fecha_firma": "2024-01-04"}', 0, 3),
         (b'{"id_contrato": "4", "objeto_contrato": "obra", "valor_contrato": -1, "fecha_firma": "2024-01-04"}', 0, 4),
+        (None, 0, 6),
         (b'{"id_contrato": "5", "objeto_contrato": "obra", "valor_contrato": 1, "fecha_firma": "ayer"}', 0, 5),
     ], "value binary, partition int, offset long").withColumn("timestamp", F.current_timestamp())
     bronze = clean.parse_records(records)
     assert [(r.id_contrato, r.valor_contrato, r.offset) for r in bronze.orderBy("offset").collect()][:2] == [
         (None, None, 0), ("1", None, 1)]
+    assert bronze.count() == 7
     silver = clean.to_silver(bronze)
     assert [r.id_contrato for r in silver.collect()] == ["2"]
     assert not set(fv.REDUNDANT_COLUMNS) & set(silver.columns)
