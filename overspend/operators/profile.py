@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -11,7 +10,9 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from overspend import fixed_values as fv
-from overspend.operators.lookup import attach_by_key
+from overspend.operators.lookup import BROADCAST_ROWS, attach_by_key
+
+VALUES_PER_TASK = 1_000_000
 
 
 def _rows(df: DataFrame, aggregates: dict[str, dict[str, Column]], name: str = "column_name") -> DataFrame:
@@ -204,15 +205,17 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(records, "feature_a string, feature_b string, r double")
 
 
-def average_ranks(df: DataFrame, column: str, values_per_task: int = 1_000_000) -> DataFrame:
+def average_ranks(df: DataFrame, column: str, values_per_task: int = VALUES_PER_TASK,
+                  distinct: int | None = None) -> DataFrame:
     """Each distinct value with its row count ``n`` and the mean rank of its rows.
 
     Values are counted first, so ties cost one row. The counted values are cut into ranges of about
     ``values_per_task``; running sums are taken inside each range and shifted by the totals of earlier ranges.
+    ``distinct`` may give a known or estimated number of values.
     """
     counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
     counted = counted.withColumn("_at", F.col("value").cast("double"))
-    distinct = counted.count()
+    distinct = counted.count() if distinct is None else distinct
     pieces = max(1, -(-distinct // values_per_task))
     if pieces > 1:
         cuts = sorted(set(counted.approxQuantile("_at", [i / pieces for i in range(1, pieces)], 0.25 / pieces)))
@@ -231,20 +234,21 @@ def average_ranks(df: DataFrame, column: str, values_per_task: int = 1_000_000)
     return running.select("value", "n", (F.col("_earlier") + (F.col("n") + 1) / 2.0).alias("mean_rank"))
 
 
-def spearman(df: DataFrame, first: str, second: str, values_per_task: int = 1_000_000) -> DataFrame:
+def spearman(df: DataFrame, first: str, second: str, values_per_task: int = VALUES_PER_TASK) -> DataFrame:
     """Rank correlation of two columns, ties sharing their mean rank.
 
     Equal pairs are counted before anything is joined, and ranks are centred so that sums stay accurate.
     """
     both = df.where(F.col(first).isNotNull() & F.col(second).isNotNull())
     pairs = both.groupBy(F.col(first).alias("a"), F.col(second).alias("b")).agg(F.count("*").alias("w"))
-    size = both.count()
-    middle, scale = (size + 1) / 2.0, max(size, 1)
+    seen = both.agg(F.count("*").alias("size"), F.approx_count_distinct(first).alias("a"),
+                    F.approx_count_distinct(second).alias("b")).first()
+    middle, scale = (seen["size"] + 1) / 2.0, max(seen["size"], 1)
     for side, column in (("a", first), ("b", second)):
-        ranks = average_ranks(both, column, values_per_task).select(
+        ranks = average_ranks(both, column, values_per_task, seen[side]).select(
             F.col("value").alias(side), F.col("n").alias(f"n_{side}"),
             ((F.col("mean_rank") - middle) / scale).alias(f"r_{side}"))
-        pairs = attach_by_key(pairs, ranks, side, f"n_{side}")
+        pairs = attach_by_key(pairs, ranks, side, f"n_{side}", few=seen[side] <= BROADCAST_ROWS)
     w, ra, rb = F.col("w"), F.col("r_a"), F.col("r_b")
     return pairs.agg(
         F.try_divide(F.sum(w * ra * rb), F.sqrt(F.sum(w * ra * ra)) * F.sqrt(F.sum(w * rb * rb))).alias("rho"))
@@ -252,7 +256,3 @@ def spearman(df: DataFrame, first: str, second: str, values_per_task: int = 1_00
 
 def mean_text_length(df: DataFrame, text: str) -> DataFrame:
     return df.agg(F.avg(F.length(text)).alias("avg_length"))
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

@@ -11,7 +11,7 @@ from overspend.functions.scores import share_pct, trip_kind
 from overspend.operators import clean, profile, trips as trip_ops
 from overspend.operators.lookup import attach_by_key, join_payment_name, join_region
 from overspend.plans.domain import (
-    BRONZE, CLEAN, CONTRACTS, DOCS, FARES, TRIPS, contracts, department_of, department_sql, doc_contracts, fares,
+    BRONZE, CLEAN, CONTRACTS, FARES, contracts, department_of, department_sql, fares,
     records, round_columns, sql_rows, table, trips,
 )
 from overspend.plans.registry import query

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from overspend import fixed_values as fv
-from overspend.functions.scores import share_pct
-from overspend.functions.times import minutes_between
 
 DEPARTMENTS = [name for name, _ in fv.DEPARTMENT_REGION + fv.DEPARTMENT_REGION_MORE] + ["Atlantis"]
 
@@ -162,15 +160,6 @@ def doc_contracts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-DOCS = """docs AS (
-  SELECT CAST(doc_id AS VARCHAR) AS id_contrato, text AS objeto_contrato, source AS entidad,
-         source || '-' || lang AS codigo_unspsc, CAST(n_chars AS DOUBLE) AS valor_contrato,
-         CASE WHEN doc_id % 2 = 1 THEN CAST(doc_id % 360 AS INTEGER) END AS duracion_dias,
-         DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER) AS fecha_firma, lang AS tipo_contrato,
-         'E' || CAST(doc_id % 3 AS VARCHAR) AS estado_contrato, 'M' || CAST(doc_id % 2 AS VARCHAR) AS modalidad
-  FROM documents)"""
-
-
 def records(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as topic records whose JSON has the faults a feed has: bad JSON, wrong types, missing ids,
     zero values, unreadable dates and blank texts."""
@@ -257,11 +246,3 @@ judged AS (
 
 JUDGED = _judged_sql("value")
 JUDGED_LOG = _judged_sql("ln(1 + value)")
-
-
-def timed_pct(df: DataFrame) -> DataFrame:
-    """Minutes and tip percentage of a trip."""
-    return df.withColumns({
-        "minutos": minutes_between(F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")),
-        "propina_pct": share_pct(F.col("tip_amount"), F.col("total_amount")),
-    })

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -11,7 +10,7 @@ from overspend.functions import text as txt
 from overspend.operators import anomaly, encode, models, profile, trips as trip_ops
 from overspend.operators.lookup import attach_by_key
 from overspend.plans.domain import (
-    CONTRACTS, DOCS, JUDGED, JUDGED_LOG, contracts, doc_contracts, judged_events, round_columns, rounded, table, trips,
+    CONTRACTS, JUDGED, JUDGED_LOG, contracts, doc_contracts, judged_events, round_columns, rounded, table, trips,
 )
 from overspend.plans.registry import query
 from overspend.plans.values import FILTERED, clean_docs

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from overspend import fixed_values as fv
 from overspend.operators import anomaly, profile, trips as trip_ops
 from overspend.operators.quantiles import exact_quantiles
 from overspend.plans.columns import PAYMENT_ROWS

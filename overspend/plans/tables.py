@@ -12,7 +12,7 @@ from overspend.operators import clean, models, trips as trip_ops
 from overspend.operators.lookup import payment_table
 from overspend.plans.columns import PAYMENT_ROWS
 from overspend.plans.domain import (
-    BRONZE, CLEAN, CONTRACTS, FARES, JUDGED, contracts, fares, judged_events, records, round_columns, rounded, table,
+    BRONZE, CLEAN, CONTRACTS, FARES, JUDGED, contracts, fares, judged_events, records, rounded, table,
     trips,
 )
 from overspend.plans.registry import query

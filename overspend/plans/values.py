@@ -14,7 +14,7 @@ from overspend.functions.times import calendar_parts, days_between, epoch_second
 from overspend.operators import anomaly, clean
 from overspend.operators.encode import keep_positions
 from overspend.plans.domain import (
-    BRONZE, FARES, TRIPS, department_of, department_sql, doc_contracts, fares, judged_events, records, sql_list,
+    BRONZE, FARES, TRIPS, department_of, department_sql, fares, judged_events, records, sql_list,
     sql_rows, table, trips,
 )
 from overspend.plans.registry import query

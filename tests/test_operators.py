@@ -127,7 +127,9 @@ def test_redundant_columns(spark):
 
 
 @pytest.mark.parametrize("per_task", [7, 1_000_000])
-def test_spearman_with_ties(spark, per_task):
+def test_spearman_with_ties(spark, per_task, monkeypatch):
+    if per_task == 7:
+        monkeypatch.setattr(profile, "BROADCAST_ROWS", 10)
     rng = np.random.default_rng(3)
     x = rng.integers(0, 40, 400).astype(float)
     x[:140] = 5.0
