@@ -4,23 +4,26 @@ Every shingle owns a random order of the signature's places, and its value at it
 Shingles of a text are treated together, one rank j at a time, and the work stops at the first rank that can change nothing any more.
 128 values in 32 bands of four find a pair of similarity 0.8 but for a chance of 5 in 10^8.
 
-Texts with the same shingle set are one class from the start. Within a band's bucket no pairs are listed: members are compared to one
-pivot, the member that shares most buckets; then again to a pivot outside the components found so far. Members of a bucket that
-are still in different components after these rounds are compared with each other, but never two of one component, as such a link adds
-nothing to the groups. So no link between groups is lost.
+Texts with the same shingle set are one class from the start. A shingle that only one candidate (later: one component) has is private; the others
+are its core, and texts of different components share no more than the smaller core has. Within a band's bucket no pairs are listed: members are compared to one pivot, the
+member with the largest share of core, to which the members of a group of copies are closest; then again to a pivot outside the components found
+so far. Members of a bucket that are still in different components after these rounds are compared with each other, but only where sizes and cores
+leave a link possible, and never two of one component, as such a link adds nothing to the groups. So no link between groups is lost.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from overspend.llm.common import GOLDEN, RollingHash, map_batches, mix, written
 from overspend.llm.unionfind import components
 
 PLACES, BAND = 128, 4
 ROUNDS = 2
+#: Parts of the shingles' range in which the cores of the last members are compared.
+PARTS = 64
 SEGMENT = 1 << 20
 ROLLING = RollingHash()
 
@@ -144,36 +147,28 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
                .agg(F.min(F.struct("id", "bands")).alias("least")).select("set_hash", F.col("least.id").alias("rep"), F.col("least.bands").alias("bands")))
     classes = written(classes, "classes")
     exploded = classes.select("rep", F.explode("bands").alias("bucket"))
-    counts = exploded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = written(exploded.join(written(counts, "buckets"), "bucket"), "members")
-    weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
-    members = written(members.select("rep", "bucket").join(weight, "rep"), "members")
+    counts = exploded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    found = written(exploded.join(written(counts, "buckets"), "bucket", "left_semi"), "members")
+    sets = written(_sets(df, found.select(F.col("rep").alias("id")).distinct(), words, key, column), "sets")
+    members = written(found.join(written(_cores(sets), "cores"), "rep"), "members")
 
-    ids = members.select(F.col("rep").alias("id")).distinct()
-    sets = written(_sets(df, ids, words, key, column), "sets")
     links, tried, roots = [], [], None
     for _ in range(ROUNDS):
-        now = members if roots is None else _open(members, roots)
+        now = members.withColumn("root", F.col("rep")) if roots is None else _open(members, roots, sets, percent)
         if roots is not None and not now.limit(1).count():
             break
-        root = F.col("rep") if roots is None else F.col("root")
-        pivots = now.groupBy("bucket").agg(F.max(F.struct("weight", "rep", root.alias("root"))).alias("top"))
+        best = F.max(F.struct((F.col("core") / F.col("size")).alias("share"), (-F.col("rep")).alias("turned"), "root", "core", "size")).alias("top")
+        pivots = now.groupBy("bucket").agg(best)
         if roots is not None:
-            others = now.join(pivots, "bucket").where(F.col("root") != F.col("top.root"))
-            second = others.groupBy("bucket").agg(F.max(F.struct("weight", "rep", "root")).alias("top"))
-            pivots = pivots.unionByName(second)
-        found = now.join(written(pivots, "pivots"), "bucket").where((F.col("rep") != F.col("top.rep")) if roots is None else (F.col("root") != F.col("top.root")))
-        pairs = found.select(F.col("top.rep").alias("a"), F.col("rep").alias("b")).distinct()
-        for before in tried:
-            pairs = pairs.join(before, ["a", "b"], "left_anti").join(before.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tried.append(pairs)
-        links.append(written(_verified(pairs, sets, percent), "links"))
-        roots = written(components(_union(links)), "roots")
-    rest = _rest(_open(members, roots))
-    for before in tried:
-        rest = rest.join(before, ["a", "b"], "left_anti").join(before.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    links.append(written(_verified(rest, sets, percent), "links"))
+            others = now.join(pivots, "bucket").where(F.col("root") != F.col("top.root")).drop("top")
+            pivots = pivots.unionByName(others.groupBy("bucket").agg(best))
+        near = now.join(written(pivots, "pivots"), "bucket").where(
+            (F.col("root") != F.col("top.root")) & _possible(F.col("size"), F.col("core"), F.col("top.size"), F.col("top.core"), percent))
+        pairs = near.select((-F.col("top.turned")).alias("a"), F.col("rep").alias("b")).distinct()
+        links, tried, roots = _compared(pairs, links, tried, sets, percent)
+    else:
+        if (rest := _open(members, roots, sets, percent)).limit(1).count():
+            links, tried, roots = _compared(_rest(rest, percent), links, tried, sets, percent)
 
     same_key = base.where("set_hash is not null and id is not null").join(classes.select("set_hash", "rep"), "set_hash").select("id", "rep")
     joined = written(components(_union(links).unionByName(same_key.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())), "roots")
@@ -182,23 +177,76 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
             .withColumn("kept", F.col(key).isNull() | (F.col(key) == F.col("component_id"))))
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def _compared(pairs: DataFrame, links: list[DataFrame], tried: list[DataFrame], sets: DataFrame, percent: int):
+    """Verify the pairs that were not verified before, and join the components anew."""
+    for before in tried:
+        turned = before.select(F.col("a").alias("b"), F.col("b").alias("a"))
+        pairs = pairs.join(before, ["a", "b"], "left_anti").join(turned, ["a", "b"], "left_anti")
+    pairs = written(pairs, "pairs")
+    links = [*links, written(_verified(pairs, sets, percent), "links")]
+    return links, [*tried, pairs], written(components(_union(links)), "roots")
+
+
+def _cores(sets: DataFrame) -> DataFrame:
+    """(rep, size, core): the size of each set, and how many of its shingles another set has too."""
+    items = sets.select("id", F.explode("items").alias("item"))
+    private = (items.groupBy("item").agg(F.count("*").alias("n"), F.min("id").alias("rep")).where("n = 1").groupBy("rep").agg(F.count("*").alias("private")))
+    # Sets that share an id are bounded together: the smallest size and the largest core.
+    sizes = sets.groupBy(F.col("id").alias("rep")).agg(F.min(F.size("items")).cast("long").alias("size"), F.max(F.size("items")).cast("long").alias("core"))
+    return sizes.join(private, "rep", "left").select("rep", "size", F.greatest(F.lit(1), F.col("core") - F.coalesce("private", F.lit(0))).alias("core"))
+
 
+def _parted_cores(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(rep, size, core, parts) where the core is what occurs outside of the set's component too, and ``parts`` counts it by parts of the shingles'
+    range. Two sets share at most the sum, over the parts, of the smaller counts."""
+    items = sets.select("id", F.explode("items").alias("item")).join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    outer = items.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("item")
+    part = F.pmod("item", F.lit(PARTS))
+    counts = (items.join(outer, "item", "left_semi").groupBy(F.col("id").alias("rep"))
+              .agg(F.count("*").alias("core"), *[F.count_if(part == k).cast("int").alias(f"p{k}") for k in range(PARTS)]))
+    sizes = sets.groupBy(F.col("id").alias("rep")).agg(F.min(F.size("items")).cast("long").alias("size"))
+    return sizes.join(counts, "rep").select("rep", "size", "core", F.array(*[f"p{k}" for k in range(PARTS)]).alias("parts"))
 
-def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members, with their component, of the buckets that hold more than one component."""
+
+def _possible(size_a, core_a, size_b, core_b, percent: int):
+    """Whether sets of these sizes and cores can be similar enough."""
+    most = F.least(core_a, core_b, size_a, size_b)
+    return (100 + percent) * most >= percent * (size_a + size_b)
+
+
+def _open(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members, with their component, that may be linked to a member of another component in their bucket.
+
+    A bucket is summed up by classes of size, each 2 % wide, with its largest core; a member stays if some class could hold a partner.
+    """
     known = members.join(roots.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     known = written(known, "rooted")
     mixed = known.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    return known.join(written(mixed, "mixed"), "bucket")
+    known = written(known.join(mixed, "bucket", "left_semi").drop("size", "core"), "mixed")
+    held = sets.join(known.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    known = written(known.join(written(_parted_cores(held, roots), "cores"), "rep"), "mixed")
+    classes = known.groupBy("bucket", F.floor(F.log("size") * 50).alias("class")).agg(
+        F.min("size").alias("least"), F.max("core").alias("most"), F.min("root").alias("low"), F.max("root").alias("high"))
+    shared = F.least("core", "most")
+    fits = ((known["bucket"] == classes["bucket"]) & ((F.col("low") != F.col("root")) | (F.col("high") != F.col("root")))
+            & ((100 + percent) * shared >= percent * (F.col("size") + F.col("least"))))
+    return written(known.join(classes, fits, "left_semi"), "open")
+
+
+def _rest(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket that belong to different components and may be linked. The bound by parts is applied inside the join, so that few pairs leave it."""
+    fields = ("rep", "root", "size", "core", "parts")
+    left = members.select("bucket", *[F.col(c).alias(f"{c}_a") for c in fields])
+    right = members.select(F.col("bucket").alias("same"), *[F.col(c).alias(f"{c}_b") for c in fields])
+    shared = sum((F.least(F.get("parts_a", F.lit(k)), F.get("parts_b", F.lit(k))) for k in range(PARTS)), F.lit(0))
+    fits = ((F.col("bucket") == F.col("same")) & (F.col("root_a") < F.col("root_b"))
+            & _possible(F.col("size_a"), F.col("core_a"), F.col("size_b"), F.col("core_b"), percent)
+            & ((100 + percent) * shared >= percent * (F.col("size_a") + F.col("size_b"))))
+    return left.join(right, fits).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
-def _rest(members: DataFrame) -> DataFrame:
-    """Pairs of a bucket that belong to different components."""
-    left = members.select("bucket", F.col("rep").alias("a"), F.col("root").alias("root_a"))
-    right = members.select("bucket", F.col("rep").alias("b"), F.col("root").alias("root_b"))
-    return left.join(right, "bucket").where("root_a < root_b").select("a", "b").distinct()
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
