@@ -26,6 +26,8 @@ BLOCK_CHARS = 4_000_000
 #: Characters of a text that are searched at once; neighbouring windows overlap by more than a piece.
 WINDOW = 1 << 19
 TABLE_BITS = 23
+#: Pairs that are aligned together.
+TOGETHER = 1024
 
 
 def normal(text: str | None) -> str:
@@ -108,46 +110,74 @@ class Index:
         for key in keys[shared >= self.bound[keys % max(1, len(self.pieces))]]:
             yield int(key % len(self.pieces)), int(key // len(self.pieces)) * BAND - PIECE
 
-    def matches(self, text: str | None) -> dict[int, tuple[int, int, int]]:
-        """For each item found: number of its pieces that match, edits of the best one, and the earliest start of its band."""
-        found: dict[int, dict[int, tuple[int, int]]] = {}
-        codes = points(normal(text))
-        step = WINDOW - 4 * PIECE
-        for offset in range(0, max(1, len(codes) - 4 * PIECE), step):
-            window = codes[offset:offset + WINDOW]
-            for piece, low in self._regions(window):
-                known = found.setdefault(self.items[piece], {})
-                if known.get(piece, (1,))[0] == 0:
-                    continue
-                edits = aligned(self.pieces[piece], window, low, low + BAND + int(self.edits[piece]), int(self.edits[piece]))
-                if edits is not None and edits < known.get(piece, (1 << 30, 0))[0]:
-                    known[piece] = edits, offset + max(0, low)
-        return {item: (len(best), min(e for e, _ in best.values()), min(s for _, s in best.values())) for item, best in found.items() if best}
-
-
-def aligned(piece: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> int | None:
-    """Fewest edits that turn ``piece`` into a part of ``text``, on diagonals ``low`` to ``high``; None above ``most``.
-
-    Cells are (piece position i, diagonal d), the text position is i + d. The start and the end in the text are free. A row follows from the one
-    before it by substitution (same diagonal) and deletion (next higher diagonal); insertions run along the row as a running minimum.
+    def matches(self, texts: list[str | None]) -> list[dict[int, tuple[int, int, int]]]:
+        """For each text and each item found in it: number of the item's pieces that match, edits of the best one, and the earliest start of a band."""
+        step, most = WINDOW - 4 * PIECE, int(self.edits.max(initial=0))
+        found: list[dict[int, dict[int, tuple[int, int]]]] = [{} for _ in texts]
+        waiting: list[tuple[int, int, int, np.ndarray]] = []
+
+        def settle() -> None:
+            waiting.sort(key=lambda w: len(self.pieces[w[1]]))
+            limits = self.edits[[w[1] for w in waiting]]
+            for (row, piece, start, _), edits, limit in zip(waiting, aligned([self.pieces[w[1]] for w in waiting], [w[3] for w in waiting], limits, BAND + 3 * most + 1), limits):
+                known = found[row].setdefault(self.items[piece], {})
+                if edits <= limit and edits < known.get(piece, (1 << 30, 0))[0]:
+                    known[piece] = int(edits), start
+            waiting.clear()
+
+        for row, text in enumerate(texts):
+            codes = points(normal(text))
+            for offset in range(0, max(1, len(codes) - 4 * PIECE), step):
+                window = codes[offset:offset + WINDOW]
+                for piece, low in self._regions(window):
+                    waiting.append((row, piece, offset + max(0, low), _region(window, low - most, BAND + 3 * most + 1 + len(self.pieces[piece]))))
+                    if len(waiting) >= TOGETHER:
+                        settle()
+        if waiting:
+            settle()
+        return [{item: (len(best), min(e for e, _ in best.values()), min(s for _, s in best.values())) for item, best in one.items() if best} for one in found]
+
+
+def _region(text: np.ndarray, start: int, length: int) -> np.ndarray:
+    """``length`` characters from ``start`` on; places outside of the text hold a number that is no character."""
+    out = np.full(length, 0xFFFFFFFF, np.uint32)
+    a, b = max(0, start), min(len(text), start + length)
+    if a < b:
+        out[a - start:b - start] = text[a:b]
+    return out
+
+
+def aligned(pieces: list[np.ndarray], regions: list[np.ndarray], limits: np.ndarray, width: int) -> np.ndarray:
+    """Fewest edits that turn each piece into a part of its region, on ``width`` diagonals from the region's start; some number above the limit
+    if there are more. All pairs advance together, one piece character at a time, and leave when they exceed their limit.
+
+    Cells are (piece position i, diagonal d), the place in the region is i + d. The start and the end in the region are free. A row follows from the one
+    before it by substitution (same diagonal) and deletion (next higher diagonal); insertions run along the row as a running minimum. A place outside of the text
+    matches nothing, so using it costs as much as a deletion.
     """
-    diagonals = np.arange(low - most, high + most + 1)
-    far = np.int32(1 << 20)
-    span = np.arange(len(diagonals), dtype=np.int32)
-    row = np.where((diagonals >= 0) & (diagonals <= len(text)), 0, far).astype(np.int32)
-    padded = np.concatenate([text, np.full(1, 0xFFFFFFFF, np.uint32)])
-    for i, code in enumerate(piece):
-        at = diagonals + i
-        inside = (at >= 0) & (at < len(text))
-        step = row + (padded[np.where(inside, at, len(text))] != code) + np.where(inside, 0, far)
-        down = np.append(row[1:], far) + 1
-        row = np.minimum(step, down).astype(np.int32)
-        end = at + 1
-        row[(end < 0) | (end > len(text))] = far
-        row = np.minimum.accumulate(row - span) + span
-        if row.min() > most:
-            return None
-    return int(row.min())
+    sizes = np.array([len(p) for p in pieces])
+    longest = int(sizes.max())
+    letters = np.full((len(pieces), longest), 0xFFFFFFFE, np.uint32)
+    places = np.full((len(pieces), longest + width), 0xFFFFFFFF, np.uint32)
+    for k, (piece, region) in enumerate(zip(pieces, regions)):
+        letters[k, :len(piece)] = piece
+        places[k, :len(region)] = region
+    result = limits + 1
+    alive, span = np.arange(len(pieces)), np.arange(width, dtype=np.int32)
+    row = np.zeros((len(pieces), width), np.int32)
+    for i in range(longest):
+        step = row + (places[alive, i:i + width] != letters[alive, i:i + 1])
+        np.minimum(step[:, :-1], row[:, 1:] + 1, out=step[:, :-1])
+        row = np.minimum.accumulate(step - span, axis=1) + span
+        best = row.min(axis=1)
+        ended = sizes[alive] == i + 1
+        result[alive[ended]] = best[ended]
+        stay = ~ended & (best <= limits[alive])
+        if not stay.all():
+            alive, row = alive[stay], row[stay]
+            if not len(alive):
+                break
+    return result
 
 
 def _blocks(benchmark: DataFrame, item: str, column: str) -> Iterator[list[tuple[int, str]]]:
@@ -179,7 +209,7 @@ def leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", column: str
         def run(batches, sent=sent):
             index = Index(sent.value)
             for batch in batches:
-                hits = [(one, doc, *match) for one, text in zip(batch["key"], batch["text"]) for doc, match in sorted(index.matches(text).items())]
+                hits = [(one, doc, *match) for one, found in zip(batch["key"], index.matches(batch["text"])) for doc, match in sorted(found.items())]
                 yield {name: [hit[i] for hit in hits] for i, name in enumerate(("key", "item", "n_pieces", "edits", "start"))}
 
         part = map_batches(rows, run, schema)

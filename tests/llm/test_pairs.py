@@ -228,6 +228,6 @@ def test_leak_edges(spark, monkeypatch):
     rng = random.Random(2)
     passage = prose(rng, 50)
     for lead in (1100, 1300, 1350, 1999):
-        found = decontaminate.Index([(5, passage)]).matches("y" * lead + " " + passage + " " + prose(rng, 400))
+        found = decontaminate.Index([(5, passage)]).matches(["y" * lead + " " + passage + " " + prose(rng, 400)])[0]
         assert found[5][:2] == (len(decontaminate.pieces(passage)), 0)
     assert decontaminate.leaks(docs, benchmark).count() == 1
