@@ -149,7 +149,7 @@ def members(ranges: Ranges) -> dict[str, tuple[int, int, int]]:
     size = ranges.size
     tail_at = max(0, size - 22 - 0xFFFF)
     tail = ranges.read(tail_at, size - tail_at)
-    end = tail.rfind(b"PK\x05\x06")
+    end = tail.rfind(b"PK\x05\x06", 0, len(tail) - 18)
     while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
         end = tail.rfind(b"PK\x05\x06", 0, end)
     if end < 0:
