@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from overspend import fixed_values as fv
+from overspend.functions.fields import valid_amount
 from overspend.functions.scores import flag, scaled, severity, z_score
 from overspend.operators.encode import fit_target_encoding, temporal_split
 
@@ -29,7 +30,7 @@ def score_anomalies(scored: DataFrame, sigma: float, label: str = "label", predi
 def group_mean_scores(df: DataFrame, value: str, group: str, moment: str, scale: str = "raw",
                       m: float = fv.SMOOTHING) -> tuple[DataFrame, DataFrame]:
     """Split by time and predict each value from its group's smoothed training mean: (train, test)."""
-    valid = df.where(F.col(value) > 0).withColumn("label", scaled(F.col(value), scale))
+    valid = df.where(valid_amount(F.col(value))).withColumn("label", scaled(F.col(value), scale))
     train, test, _ = temporal_split(valid, moment)
     encoding = fit_target_encoding(train, group, "label", output="prediction", m=m)
     return encoding.apply(train), encoding.apply(test)

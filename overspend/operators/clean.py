@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from overspend import fixed_values as fv, schemas
-from overspend.functions.fields import blank_to_null, parse_date, parse_duration, parse_year, valid_amount
+from overspend.functions.fields import blank_to_null, parse_date, parse_duration, parse_year, valid_amount, whole_number
 from overspend.operators.lookup import join_region
 
 
@@ -54,6 +54,10 @@ def normalize_source(raw: DataFrame, row_id: str, strict: bool = False) -> DataF
     def text(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
+    def number_or(name: str, parse: Callable[[Column], Column], default: int | None = None) -> Column:
+        """Numbers are truncated; only texts go through the text rule."""
+        return whole_number(F.col(name), default) if isinstance(raw.schema[name].dataType, T.NumericType) else parse(F.col(name))
+
     amount = F.col("valor_del_contrato").try_cast("double")
     named = raw.withColumn("departamento", text("departamento"))
     with_region = join_region(named, strict=strict)
@@ -69,12 +73,12 @@ def normalize_source(raw: DataFrame, row_id: str, strict: bool = False) -> DataF
         text("codigo_de_categoria_principal").alias("codigo_unspsc"),
         text("descripcion_del_proceso").alias("descripcion_categoria"),
         F.coalesce(F.nanvl(amount, F.lit(0.0)), F.lit(0.0)).alias("valor_contrato"),
-        parse_duration(F.col("duraci_n_del_contrato")).alias("duracion_dias"),
+        number_or("duraci_n_del_contrato", parse_duration).alias("duracion_dias"),
         text("fecha_de_inicio_del_contrato").alias("fecha_firma"),
         text("tipo_de_contrato").alias("tipo_contrato"),
         text("estado_contrato").alias("estado_contrato"),
         text("modalidad_de_contratacion").alias("modalidad"),
-        parse_year(F.col("anno_bpin")).alias("anno"),
+        number_or("anno_bpin", parse_year, fv.DEFAULT_YEAR).alias("anno"),
         F.concat(F.lit("SYS-"), number).alias("id_interno_sistema"),
         F.lit(None).cast("string").alias("campo_vacio"),
         F.lit("VALOR_FIJO").alias("constante_1"),

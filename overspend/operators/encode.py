@@ -15,8 +15,6 @@ from overspend import fixed_values as fv
 from overspend.operators.lookup import BROADCAST_ROWS, attach_by_key, has_few_rows
 from overspend.operators.quantiles import time_quantile
 
-INDEX_LABELS = 100_000
-
 
 def temporal_split(df: DataFrame, moment: str, share: float = fv.TRAIN_SHARE,
                    error: float = 0.0) -> tuple[DataFrame, DataFrame, Column]:
@@ -76,7 +74,10 @@ def target_encode(df: DataFrame, key: str, target: str, m: float = fv.SMOOTHING)
 
 
 def index_and_one_hot(columns: Sequence[str]) -> list:
-    """Stages that index all columns together and one-hot encode them; unseen labels get an index of their own."""
+    """Stages that index all columns together and one-hot encode them; unseen labels get an index of their own.
+
+    Spark ML keeps the labels of a column in one array on the driver; for keys that grow with the data use frequency or target encoding.
+   """
     indexed = [f"{c}_idx" for c in columns]
     return [
         StringIndexer(inputCols=list(columns), outputCols=indexed, handleInvalid="keep",
@@ -85,14 +86,6 @@ def index_and_one_hot(columns: Sequence[str]) -> list:
     ]
 
 
-def require_few_labels(df: DataFrame, columns: Sequence[str], limit: int = INDEX_LABELS) -> None:
-    """Indexing keeps all labels in one place, so refuse columns with too many before it starts."""
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = [c for c in columns if sizes[c] > limit]
-    if wide:
-        raise ValueError(f"too many labels to index, use frequency or target encoding: {', '.join(wide)}")
-
-
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features_raw") -> DataFrame:
     """Columns to one vector; rows with a null among them are dropped."""
     return VectorAssembler(inputCols=list(columns), outputCol=output, handleInvalid="skip").transform(df)

@@ -20,31 +20,20 @@ from overspend.functions.text import stopwords
 from overspend.operators.anomaly import gold_table, residual_sigma, score_anomalies
 from overspend.operators.encode import (
     TargetEncoding, fit_target_encoding, frequency_encode, frequency_table, index_and_one_hot,
-    require_few_labels, standard_scaler,
+    standard_scaler,
 )
 from overspend.session import shared_dir
 
-WORDS_PER_PARTITION = 50_000
-MAX_VOCABULARY_VALUES = (1 << 31) // 8
+WORD_PARTS = 8
 
 
-def word2vec(tokens: DataFrame, column: str = "palabras_filtradas", output: str = "embedding_raw",
-             partitions: int | None = None, **params) -> Word2Vec:
-    """Word vectors trained in as many parallel parts as the words call for.
+def word2vec(column: str = "palabras_filtradas", output: str = "embedding_raw", **params) -> Word2Vec:
+    """Word vectors trained in ``numPartitions`` parallel parts.
 
-    The default of one partition would train the whole text in one task; here there is a part per 50,000 words,
-    and no more parts than the cluster has cores, since their vectors are merged after every iteration. Spark holds the vocabulary's
-    vectors in one array, so a vocabulary too large for it is refused before training.
+    The number of parts is a parameter that is saved with the model and does not depend on the cluster, so a text gives the same vectors anywhere.
+    Spark's own limit on vocabulary times vector size applies.
     """
-    settings = fv.WORD2VEC | params
-    words = tokens.agg(F.sum(F.size(column))).first()[0] or 0
-    frequent = tokens.select(F.explode(column).alias("w")).groupBy("w").count().where(
-        F.col("count") >= settings["minCount"])
-    if frequent.count() * settings["vectorSize"] > MAX_VOCABULARY_VALUES:
-        raise ValueError("vocabulary too large for one model; raise minCount or lower vectorSize")
-    cores = tokens.sparkSession.sparkContext.defaultParallelism
-    parts = partitions or max(1, min(-(-words // WORDS_PER_PARTITION), cores))
-    return Word2Vec(inputCol=column, outputCol=output, numPartitions=parts, **settings)
+    return Word2Vec(inputCol=column, outputCol=output, **({"numPartitions": WORD_PARTS} | fv.WORD2VEC | params))
 
 
 def forest(features: str = "features", label: str = "label", **params) -> RandomForestRegressor:
@@ -163,11 +152,10 @@ class PriceModel:
     @classmethod
     def fit(cls, train: DataFrame, regressor=None, version: str = "rf_log_v1", w2v: dict | None = None) -> PriceModel:
         """Fit every part on training rows only."""
-        require_few_labels(train, cls.CATEGORIES)
         text = PipelineModel(text_stages())
         tokens = text.transform(train.withColumn("label", F.log1p("valor_contrato"))).persist()
         encoding, frequency = cls._written_tables(tokens)
-        vectors = word2vec(tokens, **(w2v or {})).fit(tokens)
+        vectors = word2vec(**(w2v or {})).fit(tokens)
         encoded = cls._encode(tokens, frequency, encoding)
         vectorised = vectors.transform(encoded)
         inputs = ["embedding_raw", *[f"{c}_ohe" for c in cls.CATEGORIES],

@@ -213,7 +213,7 @@ def average_ranks(df: DataFrame, column: str, values_per_task: int = VALUES_PER_
     ``values_per_task``; running sums are taken inside each range and shifted by the totals of earlier ranges.
     ``distinct`` may give a known or estimated number of values.
     """
-    counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    counted = df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
     counted = counted.withColumn("_at", F.col("value").cast("double"))
     distinct = counted.count() if distinct is None else distinct
     pieces = max(1, -(-distinct // values_per_task))
@@ -239,7 +239,9 @@ def spearman(df: DataFrame, first: str, second: str, values_per_task: int = VALU
 
     Equal pairs are counted before anything is joined, and ranks are centred so that sums stay accurate.
     """
-    both = df.where(F.col(first).isNotNull() & F.col(second).isNotNull())
+    # NaN is no rank in either path; casts let whole-number columns through the same test.
+    usable = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in (first, second)]
+    both = df.where(usable[0] & usable[1])
     pairs = both.groupBy(F.col(first).alias("a"), F.col(second).alias("b")).agg(F.count("*").alias("w"))
     seen = both.agg(F.count("*").alias("size"), F.approx_count_distinct(first).alias("a"),
                     F.approx_count_distinct(second).alias("b")).first()

@@ -224,8 +224,19 @@ def judged_events(spark: SparkSession, folder: str, scale: str = "raw") -> DataF
     return detect_by_group(table(spark, folder, "events"), "value", "event_type", "ts", scale)
 
 
+def faulty_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events some of whose values are NaN, null or 0."""
+    key, value = F.col("event_id"), F.col("value")
+    return table(spark, folder, "events").withColumn(
+        "value", F.when(key % 97 == 0, float("nan")).when(key % 89 == 0, F.lit(None)).when(key % 83 == 0, 0.0).otherwise(value))
+
+
+FAULTY = """events AS (SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 89 = 0 THEN NULL
+  WHEN event_id % 83 = 0 THEN 0 ELSE value END AS value) FROM main.events)"""
+
+
 def _judged_sql(label: str) -> str:
-    return f"""valid AS (SELECT *, {label} AS label FROM events WHERE value > 0),
+    return f"""valid AS (SELECT *, {label} AS label FROM events WHERE value > 0 AND NOT isnan(value)),
 cut AS (SELECT quantile_disc(ts, 0.8) AS t80 FROM valid),
 overall AS (SELECT avg(label) AS m FROM valid WHERE ts <= (SELECT t80 FROM cut)),
 encoding AS (

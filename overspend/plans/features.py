@@ -15,13 +15,12 @@ from overspend.plans.domain import (
 from overspend.plans.registry import query
 from overspend.plans.values import FILTERED, clean_docs
 from overspend.session import shared_dir
-from overspend.sources.readers import even_out
 
 
 @query("word2vec", f"WITH {FILTERED} SELECT doc_id, 100 AS dimension FROM filtered")
 def word2vec(spark, sf):
     tokens = txt.with_tokens(clean_docs(spark, sf)).select("doc_id", "palabras_filtradas").persist()
-    fitted = models.word2vec(tokens).fit(tokens)
+    fitted = models.word2vec().fit(tokens)
     tokens.unpersist()
     return fitted.transform(tokens).select("doc_id", F.size(vector_to_array("embedding_raw")).alias("dimension"))
 
@@ -34,7 +33,6 @@ INDEXED = CONTRACTS + """, ranked AS (
 def _indexed(spark, sf):
     """Fitted without one label, so that label takes the index for unseen ones."""
     rows = contracts(spark, sf).select("id_contrato", "codigo_unspsc")
-    encode.require_few_labels(rows, ["codigo_unspsc"])
     stages = encode.index_and_one_hot(["codigo_unspsc"])
     return Pipeline(stages=stages).fit(rows.where(F.col("codigo_unspsc") != "5-LOW")).transform(rows)
 
@@ -187,7 +185,7 @@ def _price_rows(spark, sf):
                          F.log1p("l_extendedprice").alias("label"), F.col("l_extendedprice").alias("valor_contrato"))
     assembled = encode.assemble(rows, ["l_quantity", "l_discount", "l_tax", "l_partkey"])
     train, test, _ = encode.temporal_split(assembled, "o_orderdate")
-    train, test, _ = encode.scale_split(even_out(train), test)
+    train, test, _ = encode.scale_split(train, test)
     return train, test
 
 
@@ -251,7 +249,7 @@ CLUSTERED = ["hora_del_dia", "dia_semana", "trip_distance", "duracion_minutos"]
 
 
 def _clustered(spark, sf):
-    cleaned = even_out(trip_ops.clean_trips(trips(spark, sf)).select(*CLUSTERED, "propina_pct"))
+    cleaned = trip_ops.clean_trips(trips(spark, sf)).select(*CLUSTERED, "propina_pct")
     return models.trip_clusters(CLUSTERED).fit(cleaned).transform(cleaned)
 
 
@@ -336,5 +334,5 @@ def train_and_score(spark, sf):
     """Fit the price model on earlier documents, save it, load it and judge the later documents."""
     train, test, _ = encode.temporal_split(doc_contracts(spark, sf), "fecha_firma")
     folder = shared_dir(spark, "price-model")
-    models.PriceModel.fit(even_out(train)).save(folder)
+    models.PriceModel.fit(train).save(folder)
     return models.PriceModel.load(spark, folder).detect(test)

@@ -9,9 +9,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from overspend.operators import clean, models, trips as trip_ops
+from overspend.operators.anomaly import detect_by_group
 from overspend.operators.lookup import payment_table
 from overspend.plans.columns import PAYMENT_ROWS
 from overspend.plans.domain import (
+    FAULTY, faulty_events,
     BRONZE, CLEAN, CONTRACTS, FARES, JUDGED, contracts, fares, judged_events, records, rounded, table,
     trips,
 )
@@ -111,10 +113,9 @@ def silver_upsert(spark, sf):
     """First load, a second batch with changes and new keys, and the second batch repeated."""
     folder = shared_dir(spark, "silver")
     first, second = _arrivals(spark, sf)
-    buckets = writers.bucket_count(table(spark, sf, "orders").count())
-    for number, batch in enumerate([first, second]):
-        writers.upsert(batch, folder, "id", ["position"], number, buckets)
-    writers.upsert(second, folder, "id", ["position"], 1, buckets)
+    for number, rows in enumerate([first, second]):
+        writers.upsert(rows, folder, "id", ["position"], batch=f"orders-{number}")
+    writers.upsert(second, folder, "id", ["position"], batch="orders-1")
     return writers.read_upserted(spark, folder).select("id", "valor")
 
 
@@ -164,3 +165,11 @@ def gold_anomalies(spark, sf):
         "event_id", "event_type", F.col("value").alias("valor_contrato"), F.round("prediction", 6).alias("valor_predicho"),
         rounded("desviacion"), rounded("z_score"), rounded("sigma_threshold"), "anomaly_flag", "severity",
         F.lit("media_grupo_v1").alias("model_version"))
+
+
+@query("gold_anomalies_faulty", f"""WITH {FAULTY}, {JUDGED} SELECT event_id, round(z_score, 6) AS z_score,
+  round(sigma_threshold, 6) AS sigma_threshold, anomaly_flag, severity FROM judged""")
+def gold_anomalies_faulty(spark, sf):
+    """The same rule over events with NaN, null and zero values."""
+    judged = detect_by_group(faulty_events(spark, sf), "value", "event_type", "ts")
+    return judged.select("event_id", rounded("z_score"), rounded("sigma_threshold"), "anomaly_flag", "severity")

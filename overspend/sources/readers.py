@@ -11,13 +11,9 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def even_out(df: DataFrame) -> DataFrame:
-    """Spread rows over all cores when a scan gives fewer than two tasks per core, as a file of few row groups does.
-
-    A large scan already has more tasks than that and is left as it is, so nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
+def even_out(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """Spread rows over ``parts`` tasks where the caller knows that a file has few row groups; without a number nothing is done."""
+    return df if parts is None else df.repartition(parts)
 
 
 def scan_many(spark: SparkSession, pattern: str, base: str | None = None) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from overspend.session import path_exists
+from overspend.session import path_exists, remove_path
 
-ROWS_PER_BUCKET = 1_000_000
+#: Buckets of a table whose creator names no number; a large table wants about one per million rows.
+BUCKETS = 8
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -40,37 +44,70 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return last.select("row.*")
 
 
-def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Buckets for a table expected to hold ``rows`` rows; fixed for the life of the table."""
-    return max(8, -(-rows // rows_per_bucket))
-
-
 def _bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def upsert(source: DataFrame, path: str, key: str, order: list[str], batch_id: int, buckets: int) -> None:
+def _note(spark: SparkSession, path: str, text: str) -> None:
+    spark.range(1).coalesce(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(path)
+
+
+def _noted(spark: SparkSession, path: str) -> str | None:
+    """The text of a complete note; a half-written one counts as missing."""
+    return spark.read.text(path).first().value if path_exists(spark, f"{path}/_SUCCESS") else None
+
+
+def _layout(spark: SparkSession, root: str, key: str, buckets: int | None) -> int:
+    """The bucket count stored with the table; fixed when the table is created."""
+    place, wanted = f"{root}_log/layout", buckets or BUCKETS
+    stored = _noted(spark, place)
+    if stored is None:
+        if path_exists(spark, root):
+            raise ValueError(f"{root} holds a table that upsert did not create")
+        _note(spark, place, json.dumps({"key": key, "buckets": wanted}))
+        return wanted
+    layout = json.loads(stored)
+    if layout["key"] != key or buckets not in (None, layout["buckets"]):
+        raise ValueError(f"{root} was created with key {layout['key']} and {layout['buckets']} buckets")
+    return layout["buckets"]
+
+
+def _finish(spark: SparkSession, root: str) -> None:
+    """Put staged buckets in place if their swap was begun and not completed."""
+    name = _noted(spark, f"{root}_log/swap")
+    if name is None or path_exists(spark, f"{root}_log/{name}/done/_SUCCESS"):
+        return
+    write_partitions(spark.read.parquet(f"{root}_log/{name}/rows"), root, "bucket")
+    _note(spark, f"{root}_log/{name}/done", name)
+    remove_path(spark, f"{root}_log/{name}/rows")
+
+
+def upsert(source: DataFrame, path: str, key: str, order: list[str], buckets: int | None = None, batch: str | None = None) -> None:
     """Insert new keys and replace known ones in a Parquet table laid out by key bucket.
 
-    Only buckets that the batch touches are read and rewritten. Their new content is first written in full to
-    a side folder and then put in place, so a run that dies halfway is repeated from the side folder: the
-    same ``batch_id`` may be run again at any time before the next one. Readers that need a stable snapshot
+    Only buckets that the batch touches are read and rewritten; their number is bounded by the bucket count, which is stored when the table is
+    created. New content is written in full to a side folder before the swap begins, and the next call completes a swap that died
+    halfway. ``batch`` names a delivery that may come again, by its stream and its number: once applied it changes nothing.
+    Without a name every call is applied. One writer at a time; readers that need a stable snapshot
     during a write should use a table format and ``merge_statement``.
     """
-    spark = source.sparkSession
-    staged = f"{path.rstrip('/')}_staged"
-    if not (path_exists(spark, f"{staged}/_SUCCESS") and path_exists(spark, f"{staged}/batch={batch_id}")):
-        latest = latest_per_key(source, key, order).withColumn("bucket", _bucket(key, buckets)).persist()
+    spark, root = source.sparkSession, path.rstrip("/")
+    buckets = _layout(spark, root, key, buckets)
+    _finish(spark, root)
+    name = batch or uuid.uuid4().hex
+    if path_exists(spark, f"{root}_log/{name}/done/_SUCCESS"):
+        return
+    latest = latest_per_key(source, key, order).withColumn("bucket", _bucket(key, buckets)).persist()
+    touched = [row.bucket for row in latest.select("bucket").distinct().collect()]
+    if touched:
         merged = latest
-        if path_exists(spark, path):
-            touched = [row.bucket for row in latest.select("bucket").distinct().collect()]
-            current = spark.read.parquet(path).where(F.col("bucket").isin(touched))
+        if path_exists(spark, root):
+            current = spark.read.parquet(root).where(F.col("bucket").isin(touched))
             merged = current.join(latest, key, "left_anti").unionByName(latest, allowMissingColumns=True)
-        (merged.withColumn("batch", F.lit(batch_id)).hint("rebalance", F.col("bucket"))
-         .write.mode("overwrite").partitionBy("batch", "bucket").parquet(staged))
-        latest.unpersist()
-    if path_exists(spark, f"{staged}/batch={batch_id}"):
-        write_partitions(spark.read.parquet(f"{staged}/batch={batch_id}"), path, "bucket")
+        merged.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}_log/{name}/rows")
+        _note(spark, f"{root}_log/swap", name)
+        _finish(spark, root)
+    latest.unpersist()
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
@@ -40,12 +41,14 @@ def batch_stream(df: DataFrame, handle: Callable[[DataFrame, int], None], checkp
             .trigger(availableNow=True).start())
 
 
-def silver_stream(records: DataFrame, path: str, checkpoint: str, buckets: int, strict: bool = False) -> StreamingQuery:
+def silver_stream(records: DataFrame, path: str, checkpoint: str, buckets: int | None = None, strict: bool = False) -> StreamingQuery:
     """Topic records to parsed, valid contracts, upserted by id; a repeated batch changes nothing."""
     silver = to_silver(parse_records(records), strict)
 
     def handle(rows: DataFrame, number: int) -> None:
-        upsert(rows, path, "id_contrato", ARRIVAL, number, buckets)
+        # The checkpoint's own id tells a new stream, which counts from 0 again, from a restarted one.
+        stream = json.loads(rows.sparkSession.read.text(f"{checkpoint}/metadata").first().value)["id"]
+        upsert(rows, path, "id_contrato", ARRIVAL, buckets, f"{stream}-{number}")
 
     return batch_stream(silver, handle, checkpoint)
 

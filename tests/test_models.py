@@ -60,13 +60,6 @@ def test_one_hot_of_unseen_labels(spark):
     assert got == {"x": (0.0, [1.0, 0.0]), "y": (1.0, [0.0, 1.0]), "z": (2.0, [0.0, 0.0]), None: (2.0, [0.0, 0.0])}
 
 
-def test_too_many_labels_are_refused(spark):
-    df = spark.range(500).select(F.col("id").cast("string").alias("c"))
-    encode.require_few_labels(df, ["c"], limit=1000)
-    with pytest.raises(ValueError, match="too many labels"):
-        encode.require_few_labels(df, ["c"], limit=100)
-
-
 def test_regression_metrics_equal_the_evaluator(spark):
     rng = np.random.default_rng(1)
     scored = spark.createDataFrame([(float(a), float(a + e)) for a, e in zip(rng.normal(size=50), rng.normal(size=50) / 3)],
@@ -132,12 +125,9 @@ def test_sample_is_a_repeatable_subset(spark):
     assert 800 < len(first) < 1200
 
 
-def test_vocabulary_limit(spark, monkeypatch):
-    tokens = spark.createDataFrame([(["a", "b"],), (["a", "b"],)], "palabras_filtradas array<string>")
-    assert models.word2vec(tokens).getNumPartitions() == 1
-    monkeypatch.setattr(models, "MAX_VOCABULARY_VALUES", 150)
-    with pytest.raises(ValueError, match="vocabulary"):
-        models.word2vec(tokens)
+def test_word_vector_parts_are_a_parameter():
+    """They do not follow the cores of the session."""
+    assert models.word2vec().getNumPartitions() == models.WORD_PARTS and models.word2vec(numPartitions=3).getNumPartitions() == 3
 
 
 def test_price_model_round_trip(spark, contracts):

@@ -253,3 +253,28 @@ def test_sigma_is_the_sample_deviation(spark):
     result = anomaly.residual_sigma(scored).first()
     assert result.sigma == pytest.approx(np.std([1, 2, 4], ddof=1))
     assert result.threshold == pytest.approx(2.8 * result.sigma)
+
+
+def test_rank_correlation_leaves_nan_out_at_any_size(spark):
+    rows = [(float(i), float((i * 7) % 50)) for i in range(50)] + [(float("nan"), 1.0), (2.0, float("nan")), (None, 3.0)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    small, split = (profile.spearman(df, "a", "b", n).first().rho for n in (1_000_000, 10))
+    assert small == pytest.approx(split) and small == pytest.approx(profile.spearman(df.where("a < 50 and b < 50"), "a", "b").first().rho)
+
+
+def test_one_nan_does_not_silence_the_rule(spark):
+    from datetime import datetime, timedelta
+
+    rows = [("g", 10.0 + i % 3, datetime(2024, 1, 1) + timedelta(hours=i)) for i in range(200)]
+    rows += [("g", value, datetime(2024, 1, 20)) for value in (float("nan"), None, 0.0, 500.0)]
+    judged = anomaly.detect_by_group(spark.createDataFrame(rows, "k string, v double, at timestamp"), "v", "k", "at")
+    assert [r.v for r in judged.where("anomaly_flag = 'ATIPICO'").collect()] == [500.0]
+
+
+def test_numeric_source_fields_are_truncated(spark):
+    row = {name: "x" for name in ("referencia_del_contrato", "descripcion_del_procedimiento", "nombre_entidad", "departamento", "municipio",
+                                  "codigo_de_categoria_principal", "descripcion_del_proceso", "valor_del_contrato", "fecha_de_inicio_del_contrato",
+                                  "tipo_de_contrato", "estado_contrato", "modalidad_de_contratacion")}
+    raw = spark.createDataFrame([{**row, "id": 1, "duraci_n_del_contrato": 30.9, "anno_bpin": 30.0}, {**row, "id": 2, "duraci_n_del_contrato": float("nan"), "anno_bpin": float("nan")}])
+    got = {r.id_interno_sistema: (r.duracion_dias, r.anno) for r in clean.normalize_source(raw, "id").collect()}
+    assert got == {"SYS-1": (30, 30), "SYS-2": (None, 2024)}

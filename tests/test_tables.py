@@ -32,31 +32,63 @@ def test_shared_dir_follows_the_session(spark):
 
 
 def test_upsert_updates_inserts_and_keeps(spark, folder):
-    writers.upsert(batch(spark, ("a", 1, 0), ("b", 2, 0), ("b", 3, 1)), folder, "id", ["at"], 0, 4)
+    writers.upsert(batch(spark, ("a", 1, 0), ("b", 2, 0), ("b", 3, 1)), folder, "id", ["at"], 4, "s-0")
     assert stored(spark, folder) == {"a": 1, "b": 3}
-    writers.upsert(batch(spark, ("b", 5, 9), ("b", 4, 8), ("c", 6, 0)), folder, "id", ["at"], 1, 4)
+    writers.upsert(batch(spark, ("b", 5, 9), ("b", 4, 8), ("c", 6, 0)), folder, "id", ["at"], 4, "s-1")
     assert stored(spark, folder) == {"a": 1, "b": 5, "c": 6}
     assert writers.read_upserted(spark, folder).count() == 3
 
 
 def test_upsert_repeated_after_a_crash(spark, folder, monkeypatch):
-    writers.upsert(batch(spark, ("a", 1, 0), ("b", 2, 0)), folder, "id", ["at"], 0, 4)
+    writers.upsert(batch(spark, ("a", 1, 0), ("b", 2, 0)), folder, "id", ["at"], 4, "s-0")
     second = batch(spark, ("b", 9, 1), ("c", 3, 1))
     real = writers.write_partitions
     monkeypatch.setattr(writers, "write_partitions", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
-        writers.upsert(second, folder, "id", ["at"], 1, 4)
-    assert path_exists(spark, f"{folder}_staged/batch=1")
+        writers.upsert(second, folder, "id", ["at"], 4, "s-1")
+    assert path_exists(spark, f"{folder}_log/s-1/rows")
     monkeypatch.setattr(writers, "write_partitions", real)
     for _ in range(2):
-        writers.upsert(second, folder, "id", ["at"], 1, 4)
+        writers.upsert(second, folder, "id", ["at"], 4, "s-1")
         assert stored(spark, folder) == {"a": 1, "b": 9, "c": 3}
 
 
+def test_upsert_keeps_the_batches_of_all_streams(spark, folder):
+    """A new stream counts from 0 again, and a batch that died is completed before another one is applied."""
+    writers.upsert(batch(spark, ("a", 1, 0)), folder, "id", ["at"], 4, "first-0")
+    writers.upsert(batch(spark, ("b", 2, 0)), folder, "id", ["at"], 4, "second-0")
+    for _ in range(2):
+        writers.upsert(batch(spark, ("c", 3, 0)), folder, "id", ["at"])
+    assert stored(spark, folder) == {"a": 1, "b": 2, "c": 3}
+    writers.upsert(batch(spark, ("a", 9, 0)), folder, "id", ["at"], 4, "first-0")
+    assert stored(spark, folder)["a"] == 1
+
+
+def test_upsert_completes_a_swap_that_died(spark, folder, monkeypatch):
+    writers.upsert(batch(spark, ("a", 1, 0), ("b", 2, 0)), folder, "id", ["at"], 1, "s-0")
+    real = writers.write_partitions
+    monkeypatch.setattr(writers, "write_partitions", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        writers.upsert(batch(spark, ("b", 5, 1)), folder, "id", ["at"], 1, "s-1")
+    monkeypatch.setattr(writers, "write_partitions", real)
+    writers.upsert(batch(spark, ("a", 7, 1)), folder, "id", ["at"], 1, "other-0")
+    writers.upsert(batch(spark, ("b", 5, 1)), folder, "id", ["at"], 1, "s-1")
+    assert stored(spark, folder) == {"a": 7, "b": 5}
+
+
+def test_upsert_refuses_another_layout(spark, folder):
+    writers.upsert(batch(spark, *((str(i), i, 0) for i in range(60))), folder, "id", ["at"], 4)
+    for key, buckets in (("id", 8), ("v", 4)):
+        with pytest.raises(ValueError):
+            writers.upsert(batch(spark, ("1", 0, 1)), folder, key, ["at"], buckets)
+    writers.upsert(batch(spark, *((str(i), -i, 1) for i in range(4))), folder, "id", ["at"])
+    assert writers.read_upserted(spark, folder).count() == 60 and stored(spark, folder)["3"] == -3
+
+
 def test_upsert_takes_new_columns_and_empty_batches(spark, folder):
-    writers.upsert(batch(spark, ("a", 1, 0)), folder, "id", ["at"], 0, 1)
-    writers.upsert(batch(spark).where("false"), folder, "id", ["at"], 1, 1)
-    writers.upsert(batch(spark, ("b", 2, 0)).withColumn("extra", F.lit("x")), folder, "id", ["at"], 2, 1)
+    writers.upsert(batch(spark, ("a", 1, 0)), folder, "id", ["at"], 1, "s-0")
+    writers.upsert(batch(spark).where("false"), folder, "id", ["at"], 1, "s-1")
+    writers.upsert(batch(spark, ("b", 2, 0)).withColumn("extra", F.lit("x")), folder, "id", ["at"], 1, "s-2")
     assert stored(spark, folder) == {"a": 1, "b": 2}
     assert {r.id: r.extra for r in writers.read_upserted(spark, folder).collect()} == {"a": None, "b": "x"}
 
