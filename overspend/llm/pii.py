@@ -227,10 +227,25 @@ def extra_spans(text: str, base: list[Span], field: Field) -> list[Span]:
 
 # ---- on tables ---------------------------------------------------------------------------------------------------------------
 
-def fit_field(df: DataFrame, key: str = "doc_id", column: str = "text", sample: int = SAMPLE) -> Field:
-    """Fit on the ``sample`` rows with the least hash of key and text; the same rows whatever the order or partitioning."""
+def sample_texts(df: DataFrame, key: str = "doc_id", column: str = "text", sample: int = SAMPLE) -> DataFrame:
+    """The texts of the ``sample`` rows with the least hash of key and text; the same rows whatever the order or partitioning.
+
+    Hashes are even, so few rows lie below a bound taken from the row count; only these are sorted. The bound rises where repeated rows leave too few below it.
+    """
     rows = df.where(F.col(column).isNotNull()).select(F.xxhash64(key, column).alias("h"), F.col(column).alias("text"))
-    return Field.fit(row.text for row in rows.orderBy("h", "text").limit(sample).toLocalIterator())
+    share, total = 4 * sample, max(1, df.count())
+    while share < total:
+        below = rows.where(F.col("h") < F.lit((share << 64) // total - (1 << 63)))
+        if below.count() >= sample:
+            rows = below
+            break
+        share *= 8
+    return rows.orderBy("h", "text").limit(sample).select("text")
+
+
+def fit_field(df: DataFrame, key: str = "doc_id", column: str = "text", sample: int = SAMPLE) -> Field:
+    """Fit on ``sample_texts``."""
+    return Field.fit(row.text for row in sample_texts(df, key, column, sample).toLocalIterator())
 
 
 def scan(df: DataFrame, field: Field, key: str = "doc_id", column: str = "text") -> DataFrame:

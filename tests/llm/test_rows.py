@@ -354,3 +354,11 @@ def test_stages_take_edge_rows(spark):
         docs = after if stage is not corpus_pipeline.drop_low_quality else docs
     assert corpus_pipeline.encode_bytes(spark, docs, FOLDER).count() == docs.count() > 10
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
+
+
+def test_sample_holds_the_least_hashes(spark):
+    rows = [(i, f"text {i}") for i in range(500)] + [(7, "the same")] * 300 + [(None, "no id"), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for sample in (1, 5, 40, 799, 2000):
+        expected = [r.text for r in df.where("text is not null").selectExpr("xxhash64(doc_id, text) h", "text").orderBy("h", "text").limit(sample).collect()]
+        assert [r.text for r in pii.sample_texts(df, sample=sample).collect()] == expected
