@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from overspend.llm import bpe, chat, decontaminate, neardup, pii, quality, repeats, secrets, tokencounts, warc
+from overspend.llm import bpe, chat, decontaminate, hilbert, negatives, neardup, pii, quality, repeats, secrets, tokencounts, warc, whitening
 from overspend.llm.common import table
+from overspend.llm.vectors import is_finite, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -65,6 +66,25 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
                        F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    rows = table(spark, folder, "embeddings").where(is_finite("embedding")).select(
+        vec_id.cast("long").alias("id"), F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"), whole("embedding", 256).alias("x"))
+    return negatives.hard_negatives(rows, F.col("id") % 100 == 0).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op12_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    sharded = hilbert.shard_documents(table(spark, folder, "documents"), shards=24, law="rows")
+    return sharded.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+                          "curve")
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").where(is_finite("embedding")).select(F.col("vec_id").alias("id"), whole("embedding", 64, 1_000_000).alias("x"))
+    return whitening.whiten(rows, components=16, fill=1_000_000).withColumnRenamed("id", "vec_id")
+
+
 OP7_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
      g AS (SELECT html, max(page_id) AS top FROM p WHERE strlen(html) >= 1000 GROUP BY html)
@@ -88,6 +108,22 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        CAST(sum(length(role) + length(text) + added + 24) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""
 
+OP11_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same, CAST(list_inner_product(a.x, r.x) AS BIGINT) AS score
+  FROM r a JOIN r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 80 * positive_score AND 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5"""
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_repeats, op3_near_duplicates, op4_secrets, op5_byte_bpe, op6_quality, op7_warc,
-                                                     op8_token_counts, op9_personal_data, op10_chat)}
-ORACLES = {"op7_warc": OP7_SQL, "op10_chat": OP10_SQL}
+                                                     op8_token_counts, op9_personal_data, op10_chat, op11_hard_negatives, op12_hilbert_shards,
+                                                     op13_whitening)}
+ORACLES = {"op7_warc": OP7_SQL, "op10_chat": OP10_SQL, "op11_hard_negatives": OP11_SQL}
