@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from overspend.llm.common import written
 from overspend.llm.vectors import numbered
 
 BITS = 4
@@ -166,9 +167,12 @@ TIE = ("text_crc32", "size", "doc_id")
 
 
 def shard_documents(documents: DataFrame, shards: int = 24, law: str = "rows", dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
-    """Documents' metadata with shard and slot; equal texts of one place on the curve are neighbours. Texts are read once and not shuffled."""
+    """Documents' metadata with shard and slot; equal texts of one place on the curve are neighbours.
+
+    Texts are read once, for their size and checksum; the passes for quantiles, ranges and places read the written metadata.
+    """
     metadata = with_sizes(documents).select(*dict.fromkeys(["doc_id", *dimensions, "size", "text_crc32"]))
-    return assign(metadata, dimensions, shards, law, tie=TIE)
+    return assign(written(metadata, "hilbert-metadata"), dimensions, shards, law, tie=TIE)
 
 
 def manifest(sharded: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
