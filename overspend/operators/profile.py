@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from overspend import fixed_values as fv
 from overspend.operators.lookup import BROADCAST_ROWS, attach_by_key
+from overspend.session import stored
 
-VALUES_PER_TASK = 1_000_000
+#: Ranges in which values are ranked; None leaves the number to the session.
+RANGES: int | None = None
 
 
 def _rows(df: DataFrame, aggregates: dict[str, dict[str, Column]], name: str = "column_name") -> DataFrame:
@@ -205,51 +207,38 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(records, "feature_a string, feature_b string, r double")
 
 
-def average_ranks(df: DataFrame, column: str, values_per_task: int = VALUES_PER_TASK,
-                  distinct: int | None = None) -> DataFrame:
-    """Each distinct value with its row count ``n`` and the mean rank of its rows.
+def average_ranks(df: DataFrame, column: str, weight: str | None = None) -> DataFrame:
+    """Each distinct value with its row count ``n`` and the mean rank of its rows; ``weight`` names a column of row counts.
 
-    Values are counted first, so ties cost one row. The counted values are cut into ranges of about
-    ``values_per_task``; running sums are taken inside each range and shifted by the totals of earlier ranges.
-    ``distinct`` may give a known or estimated number of values.
+    Values are counted first, so ties cost one row. The counted values are dealt out by ranges and written; running sums are
+    taken inside each range and shifted by the totals of earlier ranges, one row per range. The driver sees no more than the range bounds.
     """
-    counted = df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    counted = counted.withColumn("_at", F.col("value").cast("double"))
-    distinct = counted.count() if distinct is None else distinct
-    pieces = max(1, -(-distinct // values_per_task))
-    if pieces > 1:
-        cuts = sorted(set(counted.approxQuantile("_at", [i / pieces for i in range(1, pieces)], 0.25 / pieces)))
-        cutter = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_at", outputCol="_range")
-        counted = cutter.transform(counted)
-    else:
-        counted = counted.withColumn("_range", F.lit(0.0))
+    counted = df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).groupBy(F.col(column).alias("value")).agg(
+        (F.count("*") if weight is None else F.sum(weight)).alias("n"))
+    dealt = counted.repartitionByRange(*([] if RANGES is None else [RANGES]), "value").withColumn("_range", F.spark_partition_id())
+    ranged = stored(dealt, "ranks")
     inside = Window.partitionBy("_range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    running = counted.withColumn("_earlier", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    if pieces > 1:
-        # One row per range: few enough for a single ordered window.
-        totals = counted.groupBy("_range").agg(F.sum("n").alias("_size"))
-        before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-        shifts = totals.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
-        running = running.join(F.broadcast(shifts), "_range").withColumn("_earlier", F.col("_earlier") + F.col("_shift"))
-    return running.select("value", "n", (F.col("_earlier") + (F.col("n") + 1) / 2.0).alias("mean_rank"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_range").agg(F.sum("n").alias("_size"))
+    shifts = totals.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
+    running = ranged.withColumn("_earlier", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(F.broadcast(shifts), "_range")
+    return running.select("value", "n", (F.col("_earlier") + F.col("_shift") + (F.col("n") + 1) / 2.0).alias("mean_rank"))
 
 
-def spearman(df: DataFrame, first: str, second: str, values_per_task: int = VALUES_PER_TASK) -> DataFrame:
+def spearman(df: DataFrame, first: str, second: str) -> DataFrame:
     """Rank correlation of two columns, ties sharing their mean rank.
 
     Equal pairs are counted before anything is joined, and ranks are centred so that sums stay accurate.
     """
-    # NaN is no rank in either path; casts let whole-number columns through the same test.
+    # NaN is no rank; casts let whole-number columns through the same test.
     usable = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in (first, second)]
     both = df.where(usable[0] & usable[1])
-    pairs = both.groupBy(F.col(first).alias("a"), F.col(second).alias("b")).agg(F.count("*").alias("w"))
-    seen = both.agg(F.count("*").alias("size"), F.approx_count_distinct(first).alias("a"),
-                    F.approx_count_distinct(second).alias("b")).first()
-    middle, scale = (seen["size"] + 1) / 2.0, max(seen["size"], 1)
-    for side, column in (("a", first), ("b", second)):
-        ranks = average_ranks(both, column, values_per_task, seen[side]).select(
-            F.col("value").alias(side), F.col("n").alias(f"n_{side}"),
-            ((F.col("mean_rank") - middle) / scale).alias(f"r_{side}"))
+    pairs = counted = stored(both.groupBy(F.col(first).alias("a"), F.col(second).alias("b")).agg(F.count("*").alias("w")), "rank-pairs")
+    seen = pairs.agg(F.sum("w").alias("size"), F.approx_count_distinct("a").alias("a"), F.approx_count_distinct("b").alias("b")).first()
+    size = seen["size"] or 0
+    for side in ("a", "b"):
+        ranks = average_ranks(counted, side, "w").select(
+            F.col("value").alias(side), F.col("n").alias(f"n_{side}"), ((F.col("mean_rank") - (size + 1) / 2.0) / max(size, 1)).alias(f"r_{side}"))
         pairs = attach_by_key(pairs, ranks, side, f"n_{side}", few=seen[side] <= BROADCAST_ROWS)
     w, ra, rb = F.col("w"), F.col("r_a"), F.col("r_b")
     return pairs.agg(

@@ -2,6 +2,7 @@
 
 import math
 import random
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -34,17 +35,52 @@ CASES = {
 
 
 @pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("bins,finish", [(256, 1), (4096, 10_000)])
-def test_exact_quantiles(spark, name, bins, finish):
+@pytest.mark.parametrize("finish", [1, 10_000])
+def test_exact_quantiles(spark, name, finish):
     values = CASES[name]
     df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
-    assert quantiles.exact_quantiles(df, "v", POINTS, bins, finish) == plain_quantiles(values)
+    assert quantiles.exact_quantiles(df, "v", POINTS, finish_rows=finish) == plain_quantiles(values)
+
+
+def jobs_of(spark, call):
+    """The result of a call and the number of jobs it took."""
+    group = f"jobs-{id(call)}"
+    spark.sparkContext.setJobGroup(group, group)
+    result = call()
+    return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("kind,values,most", [
+    ("double", [math.exp(i) for i in range(600)], 10),
+    ("double", [math.exp(NUMBERS.uniform(-700, 700)) for _ in range(20_000)] + [0.0] * 9_000, 16),
+    ("long", [NUMBERS.randrange(-2**63, 2**63) for _ in range(9_000)] + [-2**63, 2**63 - 1], 16),
+    ("long", [2**62 + NUMBERS.randrange(5) for _ in range(9_000)] + [-2**63], 16),
+    ("decimal(30,2)", [Decimal(NUMBERS.randrange(10**12)) / 100 for _ in range(2_000)], 16),
+])
+def test_quantile_passes_follow_the_rows(spark, kind, values, most):
+    """Not the spread of the values, nor their repeats; the full range of longs is fine."""
+    df = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+    got, jobs = jobs_of(spark, lambda: quantiles.exact_quantiles(df, "v", POINTS, finish_rows=1_000))
+    assert got == plain_quantiles(values) and jobs <= most
+
+
+def test_quantiles_of_counted_values(spark):
+    values = [NUMBERS.randrange(50) ** 3 for _ in range(4_000)] + [7] * 3_000
+    counted = spark.createDataFrame([(v,) for v in values], "v long").groupBy("v").count()
+    for finish in (1, 10_000):
+        assert quantiles.exact_quantiles(counted, "v", POINTS, weight="count", finish_rows=finish) == plain_quantiles(values)
+
+
+def test_approximate_quantiles_keep_their_error(spark):
+    df = spark.range(10_000)
+    got = quantiles.approximate_quantiles(df, "id", POINTS, 0.01)
+    assert all(abs(v - p * 10_000) <= 101 for v, p in zip(got, POINTS))
 
 
 def test_exact_quantiles_of_long_numbers(spark):
     values = [2**62 + i * 3 for i in range(100)] + [-5, 0, 7]
     df = spark.createDataFrame([(v,) for v in values], "v long")
-    assert quantiles.exact_quantiles(df, "v", POINTS, 64, 1) == plain_quantiles(values)
+    assert quantiles.exact_quantiles(df, "v", POINTS, finish_rows=1) == plain_quantiles(values)
     assert quantiles.exact_quantiles(df.where("v is null"), "v", POINTS) == []
 
 
@@ -126,9 +162,11 @@ def test_redundant_columns(spark):
     assert profile.drop_redundant(df, keep=["same"]).columns == ["a", "same", "swapped", "gap"]
 
 
-@pytest.mark.parametrize("per_task", [7, 1_000_000])
-def test_spearman_with_ties(spark, per_task, monkeypatch):
-    if per_task == 7:
+@pytest.mark.parametrize("ranges", [1, 3, 8])
+def test_spearman_with_ties(spark, ranges, monkeypatch):
+    """The same for any number of ranges, whether ranks are broadcast or not."""
+    monkeypatch.setattr(profile, "RANGES", ranges)
+    if ranges == 3:
         monkeypatch.setattr(profile, "BROADCAST_ROWS", 10)
     rng = np.random.default_rng(3)
     x = rng.integers(0, 40, 400).astype(float)
@@ -136,8 +174,8 @@ def test_spearman_with_ties(spark, per_task, monkeypatch):
     y = x * 2 + rng.normal(0, 20, 400).round(0)
     df = spark.createDataFrame(pd.DataFrame({"x": x, "y": y}))
     wanted = np.corrcoef(pd.Series(x).rank(), pd.Series(y).rank())[0, 1]
-    assert profile.spearman(df, "x", "y", per_task).first().rho == pytest.approx(wanted, abs=1e-12)
-    ranks = {r.value: r.mean_rank for r in profile.average_ranks(df, "x", per_task).collect()}
+    assert profile.spearman(df, "x", "y").first().rho == pytest.approx(wanted, abs=1e-12)
+    ranks = {r.value: r.mean_rank for r in profile.average_ranks(df, "x").collect()}
     assert ranks == dict(zip(x, pd.Series(x).rank()))
 
 
@@ -255,11 +293,12 @@ def test_sigma_is_the_sample_deviation(spark):
     assert result.threshold == pytest.approx(2.8 * result.sigma)
 
 
-def test_rank_correlation_leaves_nan_out_at_any_size(spark):
+def test_rank_correlation_leaves_nan_out(spark, monkeypatch):
     rows = [(float(i), float((i * 7) % 50)) for i in range(50)] + [(float("nan"), 1.0), (2.0, float("nan")), (None, 3.0)]
     df = spark.createDataFrame(rows, "a double, b double")
-    small, split = (profile.spearman(df, "a", "b", n).first().rho for n in (1_000_000, 10))
-    assert small == pytest.approx(split) and small == pytest.approx(profile.spearman(df.where("a < 50 and b < 50"), "a", "b").first().rho)
+    small = profile.spearman(df, "a", "b").first().rho
+    monkeypatch.setattr(profile, "RANGES", 5)
+    assert small == pytest.approx(profile.spearman(df, "a", "b").first().rho) and small == pytest.approx(profile.spearman(df.where("a < 50 and b < 50"), "a", "b").first().rho)
 
 
 def test_one_nan_does_not_silence_the_rule(spark):
