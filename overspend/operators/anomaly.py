@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from overspend import fixed_values as fv
@@ -46,9 +48,10 @@ def stamp(df: DataFrame, model_version: str) -> DataFrame:
     return df.withColumns({"detection_timestamp": F.current_timestamp(), "model_version": F.lit(model_version)})
 
 
-def gold_table(scored: DataFrame, value: str, model_version: str) -> DataFrame:
-    """The ten columns of the anomaly table."""
+def gold_table(scored: DataFrame, value: str, model_version: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The ten columns of the anomaly table, after those named in ``keep``."""
     return stamp(scored, model_version).select(
+        *keep,
         F.col(value).alias("valor_contrato"),
         F.col("label").alias("valor_log"),
         F.col("prediction").alias("valor_predicho_log"),

@@ -10,31 +10,17 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import PCA, PCAModel, StopWordsRemover, SQLTransformer, StringIndexer, OneHotEncoder
-from pyspark.ml.feature import Tokenizer, VectorAssembler, Word2Vec
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import PCA, OneHotEncoder, PCAModel, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from overspend import fixed_values as fv
-from overspend.functions.text import stopwords
 from overspend.operators.anomaly import gold_table, residual_sigma, score_anomalies
-from overspend.operators.encode import (
-    TargetEncoding, fit_target_encoding, frequency_encode, frequency_table, index_and_one_hot,
-    standard_scaler,
-)
+from overspend.operators.encode import TargetEncoding, standard_scaler
+from overspend.operators.feature_tables import WORD_PARTS, FeatureTables, encode_rows, text_stages, word2vec  # noqa: F401  (part of this module's interface)
 from overspend.session import shared_dir
 
-WORD_PARTS = 8
-
-
-def word2vec(column: str = "palabras_filtradas", output: str = "embedding_raw", **params) -> Word2Vec:
-    """Word vectors trained in ``numPartitions`` parallel parts.
-
-    The number of parts is a parameter that is saved with the model and does not depend on the cluster, so a text gives the same vectors anywhere.
-    Spark's own limit on vocabulary times vector size applies.
-    """
-    return Word2Vec(inputCol=column, outputCol=output, **({"numPartitions": WORD_PARTS} | fv.WORD2VEC | params))
-
 
 def forest(features: str = "features", label: str = "label", **params) -> RandomForestRegressor:
     return RandomForestRegressor(featuresCol=features, labelCol=label, **(fv.FOREST | params))
@@ -44,13 +30,13 @@ def linear(features: str = "features", label: str = "label", **params) -> Linear
     return LinearRegression(featuresCol=features, labelCol=label, **(fv.LINEAR | params))
 
 
-def buyer_classifier(category: str, number: str, label: str = "label") -> Pipeline:
+def buyer_classifier(category: str, number: str, label: str = "label", **params) -> Pipeline:
     """Index, one-hot, assemble and classify."""
     return Pipeline(stages=[
         StringIndexer(inputCol=category, outputCol=f"{category}_idx", handleInvalid="keep"),
         OneHotEncoder(inputCol=f"{category}_idx", outputCol=f"{category}_vec"),
         VectorAssembler(inputCols=[f"{category}_vec", number], outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol=label, **fv.LOGISTIC),
+        LogisticRegression(featuresCol="features", labelCol=label, **(fv.LOGISTIC | params)),
     ])
 
 
@@ -74,6 +60,36 @@ def cluster_profile(clustered: DataFrame) -> DataFrame:
     ).orderBy("cluster_id")
 
 
+def nearest_centre(clustered: DataFrame, model: PipelineModel, features: str = "features") -> DataFrame:
+    """Adds ``nearest``: whether no other centre of the fitted clusters is nearer than the row's own."""
+    centres = [F.array(*[F.lit(float(c)) for c in centre]) for centre in model.stages[-1].clusterCenters()]
+    squares = F.transform(F.array(*centres), lambda centre: F.aggregate(
+        F.zip_with(vector_to_array(features), centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d))
+    return clustered.withColumn("nearest", F.get(squares, F.col("cluster_id")) <= F.array_min(squares) * (1 + 1e-9) + 1e-12)
+
+
+def optimality(train: DataFrame, model: LinearRegressionModel, features: str = "features", label: str = "label") -> DataFrame:
+    """How far a fitted linear model is from the optimum of its own objective: (n, residual), 0 at the optimum.
+
+    With features and label scaled to unit deviation, as the fit scales them, the correlation-like gradient of each feature must equal the ridge part plus the
+    sign of its coefficient times the lasso part, or stay within the lasso part where the coefficient is 0; the mean residual must be 0.
+    One pass for the moments and one for the gradient.
+    """
+    lasso = model.getRegParam() * model.getElasticNetParam()
+    ridge = model.getRegParam() * (1 - model.getElasticNetParam())
+    rows = train.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))
+    beta, size = [float(b) for b in model.coefficients], model.numFeatures
+    at = [F.get("x", F.lit(j)) for j in range(size)]
+    seen = rows.agg(F.count("y").alias("n"), F.stddev_samp("y").alias("y"), F.array(*[F.avg(x) for x in at]).alias("means"),
+                    F.array(*[F.stddev_samp(x) for x in at]).alias("x")).first()
+    error = F.col("y") - F.lit(float(model.intercept)) - sum((x * F.lit(b) for x, b in zip(at, beta)), F.lit(0.0))
+    gradients = [F.avg(error * (x - F.lit(m))) / F.lit(d) if d else F.lit(0.0) for x, m, d in zip(at, seen.means, seen.x)]
+    off = [F.abs(g - F.lit(lasso * (1 if b > 0 else -1) + ridge * b * (d or 0) / (seen.y or 1))) if b else F.greatest(F.abs(g) - F.lit(lasso), F.lit(0.0))
+           for g, b, d in zip(gradients, beta, seen.x)]
+    worst = F.array_max(F.array(F.abs(F.avg(error)), *off))
+    return rows.select("x", "y", error.alias("e")).agg(F.count("*").alias("n"), (worst / F.lit(seen.y or 1.0)).alias("residual"))
+
+
 def pca(k: int, column: str, output: str = "features_pca") -> PCA:
     return PCA(k=k, inputCol=column, outputCol=output)
 
@@ -120,23 +136,6 @@ def compare_models(challenger: DataFrame, champion: DataFrame | None) -> DataFra
         [row], "new_r2 double, new_rmse double, old_r2 double, old_rmse double, verdict string")
 
 
-def text_stages(text: str = "objeto_contrato", words: list[str] | None = None,
-                min_length: int = fv.MIN_TOKEN_LENGTH) -> list:
-    """Normalise, split, drop stopwords and short tokens, as stages that can be saved with a model."""
-    clean = (f"trim(regexp_replace(translate(lower({text}), '{fv.ACCENTED}', '{fv.UNACCENTED}'), "
-             "'[^a-z0-9]+', ' '))")
-    long_words = f"filter(palabras_sin_stopwords, x -> length(x) >= {min_length})"
-    return [
-        SQLTransformer(statement=f"SELECT *, explode(filter(array({clean}), x -> length(x) >= {fv.MIN_TEXT_LENGTH})) "
-                                 "AS objeto_limpio FROM __THIS__"),
-        Tokenizer(inputCol="objeto_limpio", outputCol="palabras"),
-        StopWordsRemover(inputCol="palabras", outputCol="palabras_sin_stopwords",
-                         stopWords=stopwords(fv.STOPWORDS_MEDIUM) if words is None else words),
-        SQLTransformer(statement=f"SELECT *, explode(filter(array({long_words}), x -> size(x) > 0)) "
-                                 "AS palabras_filtradas FROM __THIS__"),
-    ]
-
-
 @dataclass
 class PriceModel:
     """Text, categories and duration to a value: all fitted parts as one unit that can be saved."""
@@ -147,55 +146,35 @@ class PriceModel:
     sigma: float
     version: str = "rf_log_v1"
 
-    CATEGORIES = ("tipo_contrato", "estado_contrato", "modalidad")
-
     @classmethod
     def fit(cls, train: DataFrame, regressor=None, version: str = "rf_log_v1", w2v: dict | None = None) -> PriceModel:
         """Fit every part on training rows only."""
-        text = PipelineModel(text_stages())
-        tokens = text.transform(train.withColumn("label", F.log1p("valor_contrato"))).persist()
-        encoding, frequency = cls._written_tables(tokens)
-        vectors = word2vec(**(w2v or {})).fit(tokens)
-        encoded = cls._encode(tokens, frequency, encoding)
-        vectorised = vectors.transform(encoded)
-        inputs = ["embedding_raw", *[f"{c}_ohe" for c in cls.CATEGORIES],
-                  "entidad_freq", "codigo_unspsc_te_log", "duracion_dias"]
-        features = Pipeline(stages=[
-            *index_and_one_hot(cls.CATEGORIES),
-            VectorAssembler(inputCols=inputs, outputCol="features_raw", handleInvalid="skip"),
-            standard_scaler(),
-        ]).fit(vectorised)
-        matrix = features.transform(vectorised).select("features", "label").persist()
+        folder = shared_dir(train.sparkSession, "training")
+        return cls.fit_tables(FeatureTables.build(train, folder, moment=None, w2v=w2v), regressor, version)
+
+    @classmethod
+    def fit_tables(cls, tables: FeatureTables, regressor=None, version: str = "rf_log_v1") -> PriceModel:
+        """Fit the regressor to stored features; nothing before them is computed again."""
+        matrix = tables.train.select("features", "label")
         fitted = (regressor or forest()).fit(matrix)
         sigma = residual_sigma(fitted.transform(matrix)).first().sigma
-        matrix.unpersist()
-        tokens.unpersist()
-        return cls(PipelineModel([*text.stages, vectors, *features.stages, fitted]), frequency, encoding, sigma, version)
-
-    @staticmethod
-    def _written_tables(tokens: DataFrame) -> tuple[TargetEncoding, DataFrame]:
-        """Both encodings as written tables, so that scoring never goes back to the training rows."""
-        spark = tokens.sparkSession
-        folder = shared_dir(spark, "encodings")
-        encoding = fit_target_encoding(tokens, "codigo_unspsc", "label", "codigo_unspsc_te_log")
-        encoding.table.write.parquet(f"{folder}/encoding")
-        encoding.table = spark.read.parquet(f"{folder}/encoding")
-        frequency_table(tokens, "entidad").write.parquet(f"{folder}/frequency")
-        return encoding, spark.read.parquet(f"{folder}/frequency")
-
-    @staticmethod
-    def _encode(rows: DataFrame, frequency: DataFrame, encoding: TargetEncoding) -> DataFrame:
-        return encoding.apply(frequency_encode(rows, "entidad", frequency)).fillna(
-            {"entidad_freq": 0.0, "duracion_dias": 0})
+        return cls(PipelineModel([*tables.stages.stages, fitted]), tables.frequency, tables.encoding, sigma, version)
 
     def predict(self, rows: DataFrame) -> DataFrame:
         """Rows whose text is usable, with ``prediction`` on the log scale."""
-        return self.stages.transform(self._encode(rows, self.frequency, self.encoding))
+        return self.stages.transform(encode_rows(rows, self.frequency, self.encoding))
+
+    def predict_stored(self, features: DataFrame) -> DataFrame:
+        """Rows of a stored feature table with ``prediction``; only the regressor runs."""
+        return self.stages.stages[-1].transform(features)
 
     def detect(self, rows: DataFrame) -> DataFrame:
         """The anomaly table of new rows."""
-        labelled = self.predict(rows).withColumn("label", F.log1p("valor_contrato"))
-        return gold_table(score_anomalies(labelled, self.sigma), "valor_contrato", self.version)
+        return gold_table(self.judge(self.predict(rows)), "valor_contrato", self.version)
+
+    def judge(self, predicted: DataFrame) -> DataFrame:
+        """Predicted rows with deviation, z-score, flag and severity."""
+        return score_anomalies(predicted.withColumn("label", F.log1p("valor_contrato")), self.sigma)
 
     def save(self, path: str) -> None:
         """Write stages, both encoding tables and the numbers under one folder."""

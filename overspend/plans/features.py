@@ -1,28 +1,17 @@
-"""Encodings, splits, models, metrics and the anomaly rule."""
+"""Encodings, splits, metrics and the anomaly rule."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from overspend.functions import text as txt
-from overspend.operators import anomaly, encode, models, profile, trips as trip_ops
+from overspend.operators import anomaly, encode, models, profile
 from overspend.operators.lookup import attach_by_key
 from overspend.plans.domain import (
-    CONTRACTS, JUDGED, JUDGED_LOG, contracts, doc_contracts, judged_events, round_columns, rounded, table, trips,
+    CONTRACTS, JUDGED, JUDGED_LOG, contracts, judged_events, round_columns, rounded, table,
 )
 from overspend.plans.registry import query
-from overspend.plans.values import FILTERED, clean_docs
-from overspend.session import shared_dir
-
-
-@query("word2vec", f"WITH {FILTERED} SELECT doc_id, 100 AS dimension FROM filtered")
-def word2vec(spark, sf):
-    tokens = txt.with_tokens(clean_docs(spark, sf)).select("doc_id", "palabras_filtradas").persist()
-    fitted = models.word2vec().fit(tokens)
-    tokens.unpersist()
-    return fitted.transform(tokens).select("doc_id", F.size(vector_to_array("embedding_raw")).alias("dimension"))
 
 
 INDEXED = CONTRACTS + """, ranked AS (
@@ -151,79 +140,11 @@ def select_vector_features(spark, sf):
     return round_columns(kept, ["r"], 8)
 
 
-def _scaled_vectors(spark, sf):
-    rows = table(spark, sf, "embeddings").select(
-        "vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
-    return encode.standard_scaler("v", "features").fit(rows).transform(rows)
-
-
-def _pca(spark, sf):
-    """Components of the positions that correlate with the label."""
-    chosen = [r.position for r in select_vector_features(spark, sf).collect()] or [0]
-    kept = encode.keep_positions(_scaled_vectors(spark, sf), "features", sorted(chosen), "kept")
-    return models.pca(len(chosen), "kept").fit(kept), kept
-
-
-@query("pca")
-def pca(spark, sf):
-    fitted, kept = _pca(spark, sf)
-    arrays = fitted.transform(kept).select("vec_id", vector_to_array("features_pca").alias("a"))
-    return arrays.select("vec_id", F.size("a").alias("n"), F.round(F.element_at("a", 1), 6).alias("pc1"))
-
-
-@query("explained_variance")
-def explained_variance(spark, sf):
-    fitted, _ = _pca(spark, sf)
-    return round_columns(models.explained_variance(spark, fitted), ["share", "cumulative"], 8)
-
-
-def _price_rows(spark, sf):
-    """Line items with their order date as rows for a price regression."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    joined = table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    rows = joined.select("o_orderdate", "l_quantity", "l_discount", "l_tax", "l_partkey",
-                         F.log1p("l_extendedprice").alias("label"), F.col("l_extendedprice").alias("valor_contrato"))
-    assembled = encode.assemble(rows, ["l_quantity", "l_discount", "l_tax", "l_partkey"])
-    train, test, _ = encode.temporal_split(assembled, "o_orderdate")
-    train, test, _ = encode.scale_split(train, test)
-    return train, test
-
-
-@query("linear_regression")
-def linear_regression(spark, sf):
-    train, test = _price_rows(spark, sf)
-    scored = models.linear().fit(train.select("features", "label")).transform(test)
-    return round_columns(models.regression_metrics(scored), ["r2", "rmse", "mae"])
-
-
-@query("random_forest")
-def random_forest(spark, sf):
-    train, test = _price_rows(spark, sf)
-    scored = models.forest().fit(train.select("features", "label")).transform(test)
-    return round_columns(models.regression_metrics(scored), ["r2", "rmse", "mae"])
-
-
-@query("gold_anomalies_forest")
-def gold_anomalies_forest(spark, sf):
-    """The ten-column anomaly table with the forest as predictor."""
-    train, test = _price_rows(spark, sf)
-    fitted = models.forest().fit(train.select("features", "label"))
-    sigma = anomaly.residual_sigma(fitted.transform(train)).first().sigma
-    return anomaly.gold_table(anomaly.score_anomalies(fitted.transform(test), sigma), "valor_contrato", "rf_log_v1")
-
-
-def _labelled_docs(spark, sf):
+def labelled_docs(spark, sf):
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     return table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars").join(labels, "doc_id")
 
 
-@query("logistic_regression")
-def logistic_regression(spark, sf):
-    rows = _labelled_docs(spark, sf)
-    scored = models.buyer_classifier("source", "n_chars").fit(rows).transform(rows)
-    return scored.groupBy("label", "prediction").agg(F.count("*").alias("n"))
-
-
 @query("binary_metrics", """
 WITH rows AS (SELECT d.source, quality AS y FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
 s AS (SELECT avg(y) AS score, CAST(sum(y) AS DOUBLE) AS pos, CAST(count(*) - sum(y) AS DOUBLE) AS neg FROM rows GROUP BY source),
@@ -237,7 +158,7 @@ SELECT round(sum((fpr - f0) * (recall + r0) / 2), 6) AS area_under_roc,
        round(sum((recall - r0) * (prec + p0) / 2), 6) AS area_under_pr FROM steps""")
 def binary_metrics(spark, sf):
     """Quality predicted by the mean quality of a document's source."""
-    rows = _labelled_docs(spark, sf).select("source", F.col("label").cast("double").alias("label"))
+    rows = labelled_docs(spark, sf).select("source", F.col("label").cast("double").alias("label"))
     means = rows.groupBy("source").agg(F.avg("label").alias("score"), F.count("*").alias("n_rows"))
     scored = attach_by_key(rows, means, "source", "n_rows").persist()
     metrics = round_columns(models.binary_metrics(scored, "score"), ["area_under_roc", "area_under_pr"])
@@ -245,25 +166,6 @@ def binary_metrics(spark, sf):
     return metrics
 
 
-CLUSTERED = ["hora_del_dia", "dia_semana", "trip_distance", "duracion_minutos"]
-
-
-def _clustered(spark, sf):
-    cleaned = trip_ops.clean_trips(trips(spark, sf)).select(*CLUSTERED, "propina_pct")
-    return models.trip_clusters(CLUSTERED).fit(cleaned).transform(cleaned)
-
-
-@query("kmeans")
-def kmeans(spark, sf):
-    return _clustered(spark, sf).select(*CLUSTERED, "cluster_id")
-
-
-@query("cluster_profile")
-def cluster_profile(spark, sf):
-    return round_columns(models.cluster_profile(_clustered(spark, sf)), [
-        "hora_promedio", "dia_semana_promedio", "distancia_promedio", "duracion_promedio", "propina_promedio"])
-
-
 METRICS = """round(1 - sum((label - prediction) ** 2) / (var_pop(label) * count(label)), 8) AS r2,
   round(sqrt(avg((label - prediction) ** 2)), 6) AS rmse, round(avg(abs(label - prediction)), 6) AS mae"""
 
@@ -321,18 +223,3 @@ def champion_challenger(spark, sf):
     overall = train.agg(F.avg("label")).first()[0]
     report = models.compare_models(test, test.withColumn("prediction", F.lit(overall)))
     return round_columns(round_columns(report, ["new_r2", "old_r2"], 8), ["new_rmse", "old_rmse"])
-
-
-@query("sample")
-def sample(spark, sf):
-    return table(spark, sf, "lineitem").sample(withReplacement=False, fraction=0.1, seed=42).select(
-        "l_orderkey", "l_linenumber", "l_quantity")
-
-
-@query("train_and_score")
-def train_and_score(spark, sf):
-    """Fit the price model on earlier documents, save it, load it and judge the later documents."""
-    train, test, _ = encode.temporal_split(doc_contracts(spark, sf), "fecha_firma")
-    folder = shared_dir(spark, "price-model")
-    models.PriceModel.fit(train).save(folder)
-    return models.PriceModel.load(spark, folder).detect(test)
