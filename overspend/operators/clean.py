@@ -88,14 +88,21 @@ def normalize_source(raw: DataFrame, row_id: str, strict: bool = False) -> DataF
     )
 
 
-def newer_than(df: DataFrame, moment: str, since: Column, inclusive: bool = False) -> DataFrame:
-    """Rows after the last processed time."""
-    return df.where(F.col(moment) >= since if inclusive else F.col(moment) > since)
+def newer_than(df: DataFrame, moment: str, since: Column, inclusive: bool = False,
+               folder: tuple[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """Rows after the last processed time.
+
+    With ``since`` a literal, as ``high_watermark`` gives it, the filter reaches the scan. ``folder`` names a partition column and how
+    it follows from the time (it must not fall as time rises); folders before that of ``since`` are then not listed for reading at all.
+    """
+    newer = df.where(F.col(moment) >= since if inclusive else F.col(moment) > since)
+    return newer if folder is None else newer.where(F.col(folder[0]) >= folder[1](since))
 
 
 def high_watermark(target: DataFrame, moment: str, default: Column) -> Column:
-    """Latest time in the target table, or ``default`` while it is empty."""
-    return F.coalesce(target.agg(F.max(moment)).scalar(), default)
+    """Latest time in the target table as a literal of its type, or ``default`` while the table is empty or has no time."""
+    latest = target.agg(F.max(moment)).first()[0]
+    return default if latest is None else F.lit(latest).cast(target.schema[moment].dataType)
 
 
 def model_rows(df: DataFrame, features: str, label: str, extra: Sequence[str] = ()) -> DataFrame:

@@ -164,6 +164,18 @@ def partition_profile(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count("*").alias("n"))
 
 
+def block_profile(stored: DataFrame) -> DataFrame:
+    """Rows in each block of a stored table's files, as the scan deals them to tasks."""
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+    return stored.groupBy(*place).agg(F.count("*").alias("n"))
+
+
+def evenness(counted: DataFrame) -> DataFrame:
+    """Parts, rows, rows of the largest part and its share, from one row of ``n`` per part."""
+    return counted.agg(F.count("*").alias("parts"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.max("n").alias("largest"),
+                       F.try_divide(F.max("n"), F.sum("n")).alias("share"))
+
+
 def pearson(a: str, b: str) -> Column:
     """Pearson r over rows that have both values; null when one of them never varies.
 
@@ -199,6 +211,12 @@ def vector_correlations(df: DataFrame, vector: str, target: str) -> DataFrame:
         [(i, float(r)) for i, r in enumerate(matrix[-1, :-1])], "position int, r double")
 
 
+def ranked_correlations(correlated: DataFrame, key: str, k: int = 5) -> DataFrame:
+    """The ``k`` strongest correlations by size, numbered from 1; ties by ``key``. One row per feature meets in the window."""
+    usable = correlated.where(F.col("r").isNotNull() & ~F.isnan("r")).orderBy(F.desc(F.abs("r")), key).limit(k)
+    return usable.withColumn("place", F.row_number().over(Window.orderBy(F.desc(F.abs("r")), key)))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Full Pearson matrix of numeric columns in long form."""
     vectors = VectorAssembler(inputCols=list(columns), outputCol="x", handleInvalid="skip").transform(df)
@@ -247,3 +265,13 @@ def spearman(df: DataFrame, first: str, second: str) -> DataFrame:
 
 def mean_text_length(df: DataFrame, text: str) -> DataFrame:
     return df.agg(F.avg(F.length(text)).alias("avg_length"))
+
+
+def sample_by_key(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
+    """Rows whose key hashes below a bound: about ``fraction`` of the keys, with all rows of each.
+
+    The same rows are chosen on any partitioning, in any order and in any other engine with MD5. A null counts as an empty text.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return df.where(number < F.lit(int(fraction * (1 << 32))))

@@ -32,7 +32,7 @@ def forest_expression(nodes: DataFrame, features: str) -> Column:
 
     The nodes of all trees stand in flat arrays of constants; a walk goes down each tree by looking up feature, threshold and children, as many
     steps as the deepest tree has levels, and leaves stay where they are. The size of a model is bounded by its trees and depth, not by the data.
-    Values are added in the order of the trees, as the model adds them, so both give the same number.
+    Values are added in the order of the trees, as the model adds them, so both give the same number. A null vector gives null.
     """
     rows = nodes.orderBy("tree", "node").collect()
     place = {(r.tree, r.node): i for i, r in enumerate(rows)}
@@ -64,4 +64,4 @@ def forest_expression(nodes: DataFrame, features: str) -> Column:
     def forest(x: Column) -> Column:
         return F.aggregate(constants(roots, "int"), F.lit(0.0), lambda total, root: total + walk(x, root)) / len(roots)
 
-    return F.get(F.transform(F.array(vector_to_array(features)), forest), F.lit(0))
+    return F.when(F.col(features).isNotNull(), F.get(F.transform(F.array(vector_to_array(features)), forest), F.lit(0)))

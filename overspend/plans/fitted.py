@@ -39,11 +39,11 @@ def word2vec(spark, sf):
     fitted = models.word2vec().fit(tokens)
     vocabulary = stored(fitted.getVectors(), "vocabulary")
     words = tokens.select("doc_id", F.explode("palabras_filtradas").alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
-    sums = words.join(vocabulary, "word").groupBy("doc_id").agg(Summarizer.mean(F.col("vector"), F.col("n").cast("double")).alias("mean"),
-                                                               F.sum("n").alias("known"))
+    sums = words.join(vocabulary, "word").groupBy("doc_id").agg(Summarizer.mean(F.col("vector"), F.col("n").cast("double")).alias("v"), F.sum("n").alias("known"))
+    sums = sums.select("doc_id", "known", vector_to_array("v").alias("mean"))
     given = fitted.transform(tokens).join(sums, "doc_id", "left")
     size = F.size("palabras_filtradas")
-    own, mean = vector_to_array("embedding_raw"), F.coalesce(vector_to_array("mean"), F.array_repeat(F.lit(0.0), 100))
+    own, mean = vector_to_array("embedding_raw"), F.coalesce("mean", F.array_repeat(F.lit(0.0), 100))
     off = F.array_max(F.zip_with(own, mean, lambda a, b: F.abs(a - b * F.coalesce("known", F.lit(0)) / size)))
     return given.select("doc_id", F.size(own).alias("dimension"), size.cast("long").alias("n_palabras"), F.round(off, 6).alias("diferencia"))
 

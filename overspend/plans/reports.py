@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from overspend.operators import anomaly, profile, trips as trip_ops
-from overspend.operators.quantiles import exact_quantiles
+from overspend.operators.quantiles import approximate_quantiles, exact_quantiles
 from overspend.plans.columns import PAYMENT_ROWS
 from overspend.plans.domain import (
     BRONZE, CLEAN, CONTRACTS, FARES, JUDGED, contracts, fares, judged_events, records, round_columns, rounded, table,
     trips,
 )
 from overspend.plans.registry import query
+from overspend.session import stored
 
 
 @query("agg_global", f"WITH {FARES} SELECT round(avg(total_amount), 4) AS promedio_total_global, "
@@ -263,6 +264,46 @@ def top_anomalies(spark, sf):
         "event_id", F.col("value").alias("valor_contrato"), rounded("prediction"), rounded("z_score"), "severity")
 
 
-@query("partition_profile")
+PARTS = 8
+
+
+@query("partition_profile", f"""WITH t AS (SELECT count(*) AS total FROM lineitem)
+SELECT 'antes' AS etapa, total, TRUE AS completa, TRUE AS dentro FROM t UNION ALL SELECT 'despues', total, TRUE, TRUE FROM t""")
 def partition_profile(spark, sf):
-    return profile.partition_profile(table(spark, sf, "lineitem").repartition(8))
+    """Rows per block of the stored files and per task after spreading. All rows are in some part; the largest block holds an even share or more, and after
+    spreading the largest task holds at most an even share and one row per task that dealt rows out."""
+    rows = table(spark, sf, "lineitem")
+    blocks = stored(profile.block_profile(rows), "blocks")
+    before = profile.evenness(blocks)
+    after = profile.evenness(profile.partition_profile(rows.repartition(PARTS)))
+    readers = max(blocks.count(), spark.sparkContext.defaultParallelism)
+    whole = F.col("total") == rows.agg(F.count("*")).scalar()
+    return before.select(F.lit("antes").alias("etapa"), "total", whole.alias("completa"), (F.col("largest") * F.col("parts") >= F.col("total")).alias("dentro")).unionByName(
+        after.select(F.lit("despues").alias("etapa"), "total", whole.alias("completa"), (F.col("largest") <= F.col("total") / PARTS + readers).alias("dentro")))
+
+
+@query("percentiles_approximate", " UNION ALL ".join(f"SELECT CAST({p} AS DOUBLE) AS p, TRUE AS dentro" for p in POINTS))
+def percentiles_approximate(spark, sf):
+    """Whether the rank of each approximate quantile is within the error that was asked for."""
+    rows = table(spark, sf, "orders")
+    values = approximate_quantiles(rows, "o_totalprice", POINTS, 0.01)
+    tests = [((F.count_if(F.col("o_totalprice") < v) <= (p + 0.01) * F.count("*")) & (F.count_if(F.col("o_totalprice") <= v) >= (p - 0.01) * F.count("*")))
+             for p, v in zip(POINTS, values)]
+    return rows.agg(F.array(*[F.struct(F.lit(p).alias("p"), t.alias("dentro")) for p, t in zip(POINTS, tests)]).alias("r")).select(F.inline("r"))
+
+
+@query("corr_ranked", """WITH flat AS (SELECT CAST(label AS DOUBLE) AS y, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS position FROM embeddings),
+r AS (SELECT CAST(position AS INTEGER) AS position, corr(CAST(x AS DOUBLE), y) AS r FROM flat GROUP BY position)
+SELECT CAST(row_number() OVER (ORDER BY abs(r) DESC, position) AS INTEGER) AS place, position, round(r, 8) AS r FROM r WHERE NOT isnan(r)
+ORDER BY 1 LIMIT 5""")
+def corr_ranked(spark, sf):
+    """The vector positions that go most along with the target."""
+    found = profile.vector_correlations(table(spark, sf, "embeddings"), "embedding", "label")
+    return round_columns(profile.ranked_correlations(found, "position", 5).select("place", "position", "r"), ["r"], 8)
+
+
+@query("sample", """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+WHERE CAST('0x' || substr(md5('42|' || l_orderkey || '|' || l_linenumber), 1, 8) AS BIGINT) < 429496729""")
+def sample(spark, sf):
+    """About a tenth of the rows, chosen by a hash of their key."""
+    return profile.sample_by_key(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], 0.1).select("l_orderkey", "l_linenumber", "l_quantity")

@@ -23,10 +23,10 @@ def event_stream(spark, sf):
     return readers.stream_files(spark, sf, schemas.EVENT, name_pattern="events.parquet")
 
 
-def record_stream(spark, sf, parts: int = 3):
-    """Topic records as a stream of files, some of them in later micro-batches."""
+def record_stream(spark, sf, rows_per_file: int = 60_000):
+    """Topic records as a stream of files, written by as many tasks as the scan has; a file is a micro-batch."""
     folder = shared_dir(spark, "topic")
-    records(spark, sf).repartition(parts, "offset").write.parquet(folder)
+    records(spark, sf).write.option("maxRecordsPerFile", rows_per_file).parquet(folder)
     return readers.stream_files(spark, folder, schemas.TOPIC_RECORD, files_per_batch=1)
 
 
@@ -79,12 +79,13 @@ def _plain_times(df):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
-@query("stream_window_count", WINDOWS)
+@query("stream_window_count", WINDOWS + " HAVING window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)")
 def stream_window_count(spark, sf):
+    """Closed windows, appended by day as the watermark passes them; windows that are still open stay in the state."""
     folder = shared_dir(spark, "windows")
-    counted = jobs.window_counts(event_stream(spark, sf), "ts", "event_type")
-    jobs.run(jobs.batch_stream(counted, jobs.replace_table(f"{folder}/table"), f"{folder}/checkpoint", mode="complete"))
-    return _plain_times(readers.read_table(spark, f"{folder}/table"))
+    counted = jobs.window_counts(event_stream(spark, sf), "ts", "event_type").withColumn("day", F.to_date("window_start"))
+    jobs.run(jobs.append_stream(counted, f"{folder}/table", f"{folder}/checkpoint", by="day"))
+    return _plain_times(readers.read_table(spark, f"{folder}/table").drop("day"))
 
 
 @query("window_count_batch", WINDOWS)

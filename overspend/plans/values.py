@@ -14,7 +14,7 @@ from overspend.functions.times import calendar_parts, days_between, epoch_second
 from overspend.operators import anomaly, clean
 from overspend.operators.encode import keep_positions
 from overspend.plans.domain import (
-    BRONZE, FARES, TRIPS, department_of, department_sql, fares, judged_events, records, sql_list,
+    BRONZE, FARES, JUDGED, TRIPS, department_of, department_sql, fares, judged_events, records, sql_list,
     sql_rows, table, trips,
 )
 from overspend.plans.registry import query
@@ -204,10 +204,12 @@ def normalize_message(spark, sf):
         "anno", "id_interno_sistema", "campo_vacio", "constante_1", "constante_2")
 
 
-@query("stamp")
+@query("stamp", f"WITH {JUDGED} SELECT event_id, anomaly_flag, TRUE AS sellado, 'media_grupo_v1' AS model_version FROM judged")
 def stamp(spark, sf):
-    return anomaly.stamp(judged_events(spark, sf), "media_grupo_v1").select(
-        "event_id", "anomaly_flag", "detection_timestamp", "model_version")
+    """The stamp's time is that of the run, so it is tested and not shown."""
+    now = F.current_timestamp()
+    stamped = anomaly.stamp(judged_events(spark, sf), "media_grupo_v1")
+    return stamped.select("event_id", "anomaly_flag", (F.col("detection_timestamp").isNotNull() & (F.col("detection_timestamp") <= now)).alias("sellado"), "model_version")
 
 
 UDF_ROWS = FARES + """, odd AS (SELECT CASE WHEN passenger_count = 3 THEN NULL ELSE tip_amount END AS tip_amount,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
@@ -28,10 +27,14 @@ def window_counts(df: DataFrame, moment: str, key: str, length: str = "10 minute
     return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "n")
 
 
-def append_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append all available rows to a Parquet table, each exactly once."""
-    return (df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start(path))
+def append_stream(df: DataFrame, path: str, checkpoint: str, by: str | None = None) -> StreamingQuery:
+    """Append all available rows to a Parquet table, each exactly once; ``by`` names a column whose values become folders.
+
+    Windows are appended when the watermark has passed their end and are then dropped from the state, so state and writes follow the open
+    windows, not all windows so far.
+    """
+    writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return (writer if by is None else writer.partitionBy(by)).start(path)
 
 
 def batch_stream(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
@@ -46,8 +49,8 @@ def silver_stream(records: DataFrame, path: str, checkpoint: str, buckets: int |
     silver = to_silver(parse_records(records), strict)
 
     def handle(rows: DataFrame, number: int) -> None:
-        # The checkpoint's own id tells a new stream, which counts from 0 again, from a restarted one.
-        stream = json.loads(rows.sparkSession.read.text(f"{checkpoint}/metadata").first().value)["id"]
+        # The query's own id tells a new stream, which counts from 0 again, from a restarted one.
+        stream = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         upsert(rows, path, "id_contrato", ARRIVAL, buckets, f"{stream}-{number}")
 
     return batch_stream(silver, handle, checkpoint)
