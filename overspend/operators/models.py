@@ -73,7 +73,8 @@ def optimality(train: DataFrame, model: LinearRegressionModel, features: str = "
 
     With features and label scaled to unit deviation, as the fit scales them, the correlation-like gradient of each feature must equal the ridge part plus the
     sign of its coefficient times the lasso part, or stay within the lasso part where the coefficient is 0; the mean residual must be 0.
-    One pass for the moments and one for the gradient.
+    One pass for the moments and one for the gradient. The solver by normal equations scales by deviations of the population, so it departs
+    by a share of about 1 / n.
     """
     lasso = model.getRegParam() * model.getElasticNetParam()
     ridge = model.getRegParam() * (1 - model.getElasticNetParam())

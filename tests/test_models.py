@@ -9,7 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from overspend.operators import encode, models
+from overspend.operators import encode, models, profile, trees
+from overspend.operators.feature_tables import FeatureTables
 from overspend.session import shared_dir
 
 SMALL = {"vectorSize": 8, "maxIter": 1}
@@ -118,11 +119,13 @@ def test_clusters_cover_every_row(spark):
     assert len(report) == 4 and sum(r.conteo for r in report) == 60
 
 
-def test_sample_is_a_repeatable_subset(spark):
-    df = spark.range(10_000)
-    first = {r.id for r in df.sample(withReplacement=False, fraction=0.1, seed=42).collect()}
-    assert first == {r.id for r in df.sample(withReplacement=False, fraction=0.1, seed=42).collect()}
-    assert 800 < len(first) < 1200
+def test_sample_does_not_depend_on_the_partitioning(spark):
+    df = spark.range(10_000).select("id", F.when(F.col("id") % 2 == 0, "x").alias("k"))
+    first, second = ({r.id for r in profile.sample_by_key(d, ["id", "k"], 0.1).collect()} for d in (df.coalesce(1), df.repartition(7, "k")))
+    assert first == second and 800 < len(first) < 1200
+    assert first != {r.id for r in profile.sample_by_key(df, ["id", "k"], 0.1, seed=7).collect()}
+    whole = profile.sample_by_key(spark.createDataFrame([("a", i) for i in range(9)], "k string, i int"), ["k"], 0.5)
+    assert whole.count() in (0, 9)
 
 
 def test_word_vector_parts_are_a_parameter():
@@ -167,3 +170,121 @@ def test_vector_to_array_of_an_assembled_target(spark):
     df = spark.createDataFrame([(Vectors.dense(1.0, 2.0), 5.0)], ["v", "y"])
     joined = encode.assemble(df, ["v", "y"], "vy")
     assert joined.select(vector_to_array("vy")).first()[0] == [1.0, 2.0, 5.0]
+
+
+def vectors(spark, data, schema=("v", "y")):
+    return spark.createDataFrame([(Vectors.dense(x), float(y)) for x, y in data], list(schema))
+
+
+def test_forest_expression_equals_the_model(spark):
+    """All predictions to the last bit; trees of different depth, a forest of single leaves, a row without a vector."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 3))
+    train = vectors(spark, zip(x, np.where(x[:, 0] > 0, x[:, 1] ** 2, -x[:, 2])))
+    for params in ({"numTrees": 7, "maxDepth": 6}, {"numTrees": 3, "maxDepth": 0}):
+        model = models.forest("v", "y", **params).fit(train)
+        nodes = trees.node_table(spark, model)
+        scored = model.transform(train).withColumn("own", trees.forest_expression(nodes, "v"))
+        assert scored.where("own <> prediction or own is null").count() == 0
+        assert {r.tree for r in nodes.select("tree").distinct().collect()} == set(range(params["numTrees"]))
+        assert nodes.where("feature is null").count() == nodes.where("feature is not null").count() + params["numTrees"]
+    none = spark.createDataFrame([(None, 1.0)], train.schema)
+    assert none.select(trees.forest_expression(nodes, "v")).first()[0] is None
+
+
+def test_split_by_category_is_refused(spark):
+    from pyspark.ml.feature import VectorIndexer
+
+    train = vectors(spark, [([float(i % 3)], 10.0 * (i % 3 == 1)) for i in range(60)], ("raw", "y"))
+    indexed = VectorIndexer(inputCol="raw", outputCol="v", maxCategories=4).fit(train).transform(train)
+    model = models.forest("v", "y", numTrees=2).fit(indexed)
+    with pytest.raises(Exception, match="split by category"):
+        trees.node_table(spark, model).collect()
+
+
+def test_feature_tables_keep_tokens_vectors_and_attributes(spark, contracts):
+    """After a reload: every row once, the cut between both parts, attributes of the positions, training means of 0, the same scores."""
+    folder = shared_dir(spark, "features")
+    built = FeatureTables.build(contracts, folder, w2v=SMALL, parts=3)
+    loaded = FeatureTables.load(spark, folder)
+    assert loaded.train.count() + loaded.test.count() == contracts.count()
+    assert loaded.train.agg(F.max("fecha_firma")).first()[0] < loaded.test.agg(F.min("fecha_firma")).first()[0]
+    attributes = loaded.train.schema["features_raw"].metadata["ml_attr"]
+    assert attributes["num_attrs"] == len(loaded.train.first().features_raw) == len(loaded.test.first().features)
+    names = [a["name"] for kind in attributes["attrs"].values() for a in kind]
+    assert "entidad_freq" in names and any(n.startswith("modalidad_ohe_M") for n in names)
+    matrix = np.array([r.features.toArray() for r in loaded.train.select("features").collect()])
+    assert np.abs(matrix.mean(axis=0)).max() < 1e-9
+    assert all(isinstance(t, str) for t in loaded.train.first().palabras_filtradas)
+
+    small = models.forest(numTrees=4, maxDepth=3)
+    first, again = models.PriceModel.fit_tables(built, small), models.PriceModel.fit_tables(loaded, small)
+    raw = {r.id_contrato: r.prediction for r in first.predict(contracts).collect()}
+    stored = {r.id_contrato: r.prediction for r in again.predict_stored(loaded.test).collect()}
+    assert stored.keys() <= raw.keys() and all(raw[k] == pytest.approx(v, abs=1e-9) for k, v in stored.items())
+
+
+def test_feature_tables_compute_the_source_once(spark, contracts):
+    counted = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    rows = contracts.mapInArrow(touch, contracts.schema)
+    FeatureTables.build(rows, shared_dir(spark, "features"), w2v=SMALL)
+    assert counted.value == contracts.count()
+
+
+def test_split_and_frequencies_compute_the_source_once(spark):
+    counted = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(500).selectExpr("id", "date_add(DATE'2024-01-01', int(id % 50)) AS d").mapInArrow(touch, "id long, d date")
+    _, _, cut = encode.temporal_split(rows, "d")
+    assert counted.value == 500 and str(spark.range(1).select(cut).first()[0]) == "2024-02-09"
+    encode.frequency_table(rows, "d").collect()
+    assert counted.value == 1000
+
+
+def test_selection_path_drops_constant_and_unrelated_positions(spark):
+    rng = np.random.default_rng(6)
+    y = rng.normal(size=900)
+    noise = rng.normal(size=900)
+    data = [(Vectors.dense([t + 0.1 * n, 7.0, n]), f"g{i % 3}", "same", float(t), float(-t)) for i, (t, n) in enumerate(zip(y, noise))]
+    rows = spark.createDataFrame(data, ["v", "g", "c", "y", "minus"])
+    fitted = encode.selection_path("v", ["g", "c"], ["minus"], "y", threshold=0.2).fit(rows)
+    folder = shared_dir(spark, "path")
+    fitted.write().save(folder)
+    from pyspark.ml import PipelineModel
+    loaded = PipelineModel.load(folder)
+    assert encode.kept_positions(fitted) == encode.kept_positions(loaded) == [0, 5]
+    unseen = rows.limit(3).withColumn("g", F.lit("new"))
+    assert all(len(r.features_pca) == 2 for r in loaded.transform(unseen).collect())
+    # Nothing goes along with the target: the strongest position stays.
+    assert len(encode.kept_positions(encode.selection_path("v", ["g", "c"], ["minus"], "y", threshold=2.0).fit(rows))) == 1
+
+
+def test_optimality_tells_fitted_from_unfitted(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 4)) * [1, 10, 0.1, 3] + [0, 5, 2, 0]
+    train = vectors(spark, zip(x, x @ [2.0, 0.3, 0.0, -1.0] + rng.normal(size=400)), ("features", "label"))
+    for params in ({}, {"regParam": 0.0}, {"regParam": 0.5, "elasticNetParam": 0.0}, {"regParam": 0.4, "elasticNetParam": 1.0}):
+        row = models.optimality(train, models.linear(**({"solver": "l-bfgs"} | params)).fit(train)).first()
+        assert row.n == 400 and row.residual < 1e-6
+        assert models.optimality(train, models.linear(**params).fit(train)).first().residual < 1e-3
+    rough = models.linear(maxIter=1, regParam=0.4, elasticNetParam=1.0).fit(train)
+    assert models.optimality(train, rough).first().residual > 1e-3
+
+
+def test_nearest_centre_sees_a_wrong_cluster(spark):
+    df = spark.range(80).select(*[((F.col("id") * k) % 24).cast("double").alias(c) for k, c in ((1, "a"), (5, "b"))])
+    model = models.trip_clusters(["a", "b"]).fit(df)
+    clustered = model.transform(df)
+    assert models.nearest_centre(clustered, model).where("not nearest").count() == 0
+    assert models.nearest_centre(clustered.withColumn("cluster_id", (F.col("cluster_id") + 1) % 4), model).where("nearest").count() == 0

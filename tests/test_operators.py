@@ -317,3 +317,15 @@ def test_numeric_source_fields_are_truncated(spark):
     raw = spark.createDataFrame([{**row, "id": 1, "duraci_n_del_contrato": 30.9, "anno_bpin": 30.0}, {**row, "id": 2, "duraci_n_del_contrato": float("nan"), "anno_bpin": float("nan")}])
     got = {r.id_interno_sistema: (r.duracion_dias, r.anno) for r in clean.normalize_source(raw, "id").collect()}
     assert got == {"SYS-1": (30, 30), "SYS-2": (None, 2024)}
+
+
+def test_ranked_correlations_break_ties_and_drop_nan(spark):
+    df = spark.createDataFrame([(0, 0.5), (1, -0.9), (2, float("nan")), (3, -0.5), (4, None), (5, 0.1)], "position int, r double")
+    assert [(r.place, r.position) for r in profile.ranked_correlations(df, "position", 3).orderBy("place").collect()] == [(1, 1), (2, 0), (3, 3)]
+
+
+def test_blocks_hold_all_rows(spark, tmp_path):
+    spark.range(0, 1000, 1, 4).write.parquet(str(tmp_path / "t"))
+    row = profile.evenness(profile.block_profile(spark.read.parquet(str(tmp_path / "t")))).first()
+    assert (row.parts, row.total, row.largest, row.share) == (4, 1000, 250, 0.25)
+    assert profile.evenness(profile.block_profile(spark.read.parquet(str(tmp_path / "t"))).limit(0)).first().total == 0

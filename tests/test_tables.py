@@ -164,6 +164,51 @@ def test_append_windows_close_and_drop_late_rows(spark, folder):
     assert got == {(0, 2), (95, 2), (100, 2)}
 
 
+def test_window_state_is_bounded_over_many_days(spark, folder):
+    """State follows the open windows: after 20 days it holds no more than after one."""
+    rows = []
+    for day in range(20):
+        spark.range(288).select(F.timestamp_seconds(F.lit(day * 86_400) + F.col("id") * 300).alias("ts"), (F.col("id") % 3).cast("string").alias("k")).coalesce(
+            1).write.mode("append").parquet(f"{folder}/in")
+        source = readers.stream_files(spark, f"{folder}/in", "ts timestamp, k string")
+        counted = jobs.window_counts(source, "ts", "k").withColumn("day", F.to_date("window_start"))
+        query = jobs.append_stream(counted, f"{folder}/out", f"{folder}/checkpoint", by="day")
+        query.awaitTermination()
+        rows.append(query.lastProgress.stateOperators[0].numRowsTotal)
+    assert max(rows) <= rows[0] <= 12
+    out = spark.read.parquet(f"{folder}/out")
+    assert out.select("day").distinct().count() >= 20 and out.agg(F.sum("n")).first()[0] > 2 * 20 * 288 - 30
+
+
+def rows_read(df):
+    """Rows and files that the scans of an executed query gave."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    while hasattr(plan, "executedPlan") and plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    leaves = plan.collectLeaves()
+    metrics = [leaves.apply(i).metrics() for i in range(leaves.size())]
+    return sum(m.apply("numOutputRows").value() for m in metrics), sum(m.apply("numFiles").value() for m in metrics)
+
+
+def test_incremental_rows_skip_old_files(spark, folder):
+    """40 ordered files of 100 rows: only those after the last processed time are read; old day folders are not even listed."""
+    from overspend.operators import clean
+
+    days = spark.range(0, 4_000, 1, 1).select("id", F.timestamp_seconds(F.col("id") * 864).alias("t"), F.to_date(F.timestamp_seconds(F.col("id") * 864)).alias("day"))
+    days.write.option("maxRecordsPerFile", 100).parquet(f"{folder}/files")
+    days.write.partitionBy("day").parquet(f"{folder}/days")
+    default = F.lit("1970-01-01").cast("timestamp")
+    done = days.where("id < 3850")
+    since = clean.high_watermark(done, "t", default)
+    plain = clean.newer_than(spark.read.parquet(f"{folder}/files"), "t", since)
+    assert plain.count() == 150 and rows_read(plain.select("id", "t"))[0] <= 200
+    foldered = clean.newer_than(spark.read.parquet(f"{folder}/days"), "t", since, folder=("day", F.to_date))
+    read, files = rows_read(foldered.select("id", "t"))
+    assert foldered.count() == 150 and read <= 200 and files == 2
+    assert clean.newer_than(days, "t", clean.high_watermark(days.limit(0), "t", default)).count() == 3_999
+
+
 def test_stream_and_batch_share_the_function(spark):
     df = spark.createDataFrame([(1.0, 2.0), (-3.0, 1.0), (0.0, 0.0)], "fare_amount double, tip_amount double")
     assert [r.total_cost for r in jobs.total_cost(df).collect()] == [3.0]
