@@ -30,7 +30,7 @@ def agg_global(spark, sf):
   max(trip_distance) AS distancia_maxima, count(DISTINCT payment_type) AS tipos_pago_unicos
 FROM fares GROUP BY "PULocationID" """)
 def agg_multi(spark, sf):
-    report = trip_ops.zone_report(fares(spark, sf))
+    report = trip_ops.BY_ZONE.of(fares(spark, sf))
     return round_columns(round_columns(report, ["promedio_total"], 4), ["suma_total"], 2)
 
 
@@ -58,28 +58,28 @@ def freq_table(spark, sf):
   round(avg(tip_amount / nullif(total_amount, 0) * 100), 6) AS propina_promedio_pct, count(*) AS conteo_viajes
 FROM fares WHERE passenger_count > 1 AND trip_distance > 5 GROUP BY passenger_count""")
 def trip_tip_by_passengers(spark, sf):
-    return round_columns(trip_ops.tips_by_passengers(fares(spark, sf)), ["propina_promedio_pct"])
+    return round_columns(trip_ops.BY_PASSENGERS.of(fares(spark, sf)), ["propina_promedio_pct"])
 
 
 @query("trip_by_month", f"""WITH {CLEAN} SELECT mes, count(*) AS total_viajes,
   round(avg(propina_pct), 6) AS propina_promedio, round(avg(trip_distance), 6) AS distancia_promedio
 FROM clean GROUP BY mes""")
 def trip_by_month(spark, sf):
-    report = trip_ops.by_month(trip_ops.clean_trips(trips(spark, sf)))
+    report = trip_ops.BY_MONTH.of(trip_ops.clean_trips(trips(spark, sf)))
     return round_columns(report, ["propina_promedio", "distancia_promedio"])
 
 
 @query("trip_by_hour", f"WITH {CLEAN} SELECT hora_del_dia, count(*) AS total_viajes, "
                        "round(avg(propina_pct), 6) AS propina_promedio FROM clean GROUP BY hora_del_dia")
 def trip_by_hour(spark, sf):
-    return round_columns(trip_ops.by_hour(trip_ops.clean_trips(trips(spark, sf))), ["propina_promedio"])
+    return round_columns(trip_ops.BY_HOUR.of(trip_ops.clean_trips(trips(spark, sf))), ["propina_promedio"])
 
 
 @query("trip_by_payment", f"""WITH {CLEAN} SELECT CASE WHEN payment_type = 1 THEN 'Tarjeta' ELSE 'Efectivo' END
   AS tipo_pago_nombre, round(avg(propina_pct), 6) AS propina_promedio, count(*) AS conteo_viajes
 FROM clean WHERE payment_type IN (1, 2) GROUP BY 1""")
 def trip_by_payment(spark, sf):
-    return round_columns(trip_ops.by_payment(trip_ops.clean_trips(trips(spark, sf))), ["propina_promedio"])
+    return round_columns(trip_ops.BY_PAYMENT.of(trip_ops.clean_trips(trips(spark, sf))), ["propina_promedio"])
 
 
 @query("trip_segments", f"""WITH {FARES} SELECT payment_type,
@@ -87,7 +87,7 @@ def trip_by_payment(spark, sf):
   round(avg(tip_amount), 4) AS propina_promedio, count(*) AS conteo_viajes
 FROM fares WHERE trip_distance > 2 AND trip_distance < 100 GROUP BY 1, 2""")
 def trip_segments(spark, sf):
-    return round_columns(trip_ops.segments(fares(spark, sf)), ["propina_promedio"], 4)
+    return round_columns(trip_ops.SEGMENTS.of(fares(spark, sf)), ["propina_promedio"], 4)
 
 
 @query("trip_segments_sql", f"""WITH {FARES}, pagos(payment_id, nombre_pago) AS (VALUES {PAYMENT_ROWS})
@@ -96,7 +96,7 @@ SELECT payment_type, nombre_pago, CASE WHEN trip_distance > 20 THEN 'Largo' ELSE
 FROM fares LEFT JOIN pagos ON payment_type = payment_id
 WHERE trip_distance > 2 AND trip_distance < 100 GROUP BY 1, 2, 3""")
 def trip_segments_sql(spark, sf):
-    return round_columns(trip_ops.segments_sql(fares(spark, sf), "taxis_segments"), ["propina_promedio"], 4)
+    return round_columns(trip_ops.segments_sql(fares(spark, sf)), ["propina_promedio"], 4)
 
 
 NULLABLE = ["passenger_count", "RatecodeID", "trip_distance", "total_amount"]

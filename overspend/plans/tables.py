@@ -131,14 +131,19 @@ def register_table(spark, sf):
     folder, name = shared_dir(spark, "suppliers"), f"overspend_{uuid.uuid4().hex}"
     writers.overwrite(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal"), folder)
     writers.register(spark, name, folder)
-    return spark.sql(f"SELECT s_suppkey, s_name, s_acctbal FROM {name}")
+    found = spark.sql(f"SELECT s_suppkey, s_name, s_acctbal FROM {name}")
+    # The plan is resolved; dropping the name leaves the stored files alone.
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 @query("temp_view", "SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 4) AS saldo FROM customer GROUP BY c_mktsegment")
 def temp_view(spark, sf):
-    table(spark, sf, "customer").createOrReplaceTempView("overspend_clientes")
-    return spark.sql("SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 4) AS saldo "
-                     "FROM overspend_clientes GROUP BY c_mktsegment")
+    name = f"overspend_{uuid.uuid4().hex}"
+    table(spark, sf, "customer").createOrReplaceTempView(name)
+    found = spark.sql(f"SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 4) AS saldo FROM {name} GROUP BY c_mktsegment")
+    spark.catalog.dropTempView(name)
+    return found
 
 
 @query("save_load_model", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM lineitem")
