@@ -1,9 +1,10 @@
 """Chat formatting of reply trees, with DataFrame operations only.
 
-Messages form a forest by their parent ids. Each step of the iterative self-join adds the children of the ends of all paths, so
-after as many steps as the tree is deep every root-to-leaf path is known as a list of message ids. Steps are written to the shared folder.
-Paths of a tree are ranked by the mean score of their messages, and each chosen path is formatted as one conversation. Texts join
-their paths only at the end.
+Messages form a forest by their parent ids. Iterative self-joins double the reach of every message's pointer: after k rounds it names the ancestor 2^k above, with the
+number and the scores of the messages on the way. So after as many rounds as the depth has binary digits each leaf knows its path's mean score, and leaves are ranked
+by it before any path is built. The same pointers then enumerate the chosen paths, each round doubling the known part, and ids are collected once, by their
+distance from the leaf. Rounds are written to the shared folder and removed when they are used up. Each chosen path is formatted as one conversation. Texts
+join their paths only at the end.
 
 Formatted turns are ``<|im_start|>role NEWLINE text<|im_end|> NEWLINE``. Control strings inside roles and texts are escaped: each backslash becomes
 ``\\e``, the first character of a control string ``\\l`` or ``\\b``, a line end in a role ``\\n``; undoing these in reverse order restores the text. The loss mask is a
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from overspend.llm.common import written
+from overspend.llm.common import release, written
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 #: Control strings of common chat templates; only their first character is replaced.
@@ -64,25 +65,44 @@ def paths(messages: DataFrame, best: int | None = None) -> DataFrame:
     edges = written(messages.where("tree is not null and message is not null").groupBy("tree", "message")
                     .agg(F.max(F.struct(F.coalesce("score", F.lit(0.0)).alias("score"), "parent")).alias("best"))
                     .select("tree", "message", "best.parent", "best.score"), "reply-edges")
-    children = edges.where("parent is not null").select("tree", F.col("parent").alias("end"), F.col("message").alias("child"), F.col("score").alias("more"))
-    parents = children.select("tree", "end").distinct()
-    front = edges.where("parent is null").select("tree", F.col("message").alias("end"), F.array("message").alias("path"), "score")
-    done = []
-    while True:
-        front = written(front.join(parents.withColumn("inner", F.lit(True)), ["tree", "end"], "left"), "reply-paths")
-        done.append(front.where("inner is null").select("tree", "path", "score"))
-        if not front.where("inner").limit(1).count():
-            break
-        front = (front.where("inner").join(children, ["tree", "end"])
-                 .select("tree", F.col("child").alias("end"), F.concat("path", F.array("child")).alias("path"), (F.col("score") + F.col("more")).alias("score")))
-    found = done[0]
-    for part in done[1:]:
-        found = found.unionByName(part)
-    rank = Window.partitionBy("tree").orderBy((F.col("score") / F.size("path")).desc(), "path")
-    numbered = found.withColumn("path_no", F.row_number().over(rank)).select("tree", "path_no", "path")
+    levels = _pointers(edges)
+    parents = edges.where("parent is not null").select("tree", F.col("parent").alias("message")).distinct()
+    leaves = levels[-1].where("up is null").join(parents, ["tree", "message"], "left_anti").select("tree", "message", (F.col("score") / F.col("size")).alias("mean"))
+    if best is not None:
+        # Ties stay until their paths can be compared.
+        leaves = leaves.withColumn("place", F.rank().over(Window.partitionBy("tree").orderBy(F.desc("mean")))).where(F.col("place") <= best)
+    ends = written(leaves.select("tree", F.col("message").alias("leaf"), F.col("message").alias("node"), F.lit(0).alias("above"), "mean"), "reply-paths")
+    for k, level in enumerate(levels):
+        up = level.where("up is not null").select("tree", F.col("message").alias("node"), "up")
+        more = ends.join(up, ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("above") + (1 << k)).alias("above"), "mean")
+        longer = written(ends.unionByName(more), "reply-paths")
+        release(ends)
+        ends = longer
+    release(edges, *levels)
+    found = ends.groupBy("tree", "leaf").agg(F.max("mean").alias("mean"), F.sort_array(F.collect_list(F.struct("above", "node")), asc=False).alias("way"))
+    whole = found.select("tree", "mean", F.col("way.node").alias("path"))
+    numbered = whole.withColumn("path_no", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("mean"), "path"))).select("tree", "path_no", "path")
     return numbered if best is None else numbered.where(F.col("path_no") <= best)
 
 
+def _pointers(edges: DataFrame) -> list[DataFrame]:
+    """Per round k the table (tree, message, up, size, score): ``up`` is the ancestor 2^k above, null where the chain has reached its root before; size
+    and score count the messages below ``up``. The last round has the roots of all chains that have one.
+
+    Chains that end at a missing message disappear, since nothing joins it. Chains in a cycle never reach a root; no chain is longer than there are
+    messages, which bounds the rounds. Finished rows are not joined again, so they do not gather under one key.
+    """
+    rounds = max(1, edges.count()).bit_length()
+    levels = [written(edges.select("tree", "message", F.col("parent").alias("up"), F.lit(1).cast("long").alias("size"), "score"), "reply-pointers")]
+    while len(levels) <= rounds and levels[-1].where("up is not null").limit(1).count():
+        now = levels[-1]
+        above = now.select("tree", F.col("message").alias("up"), F.col("up").alias("next"), F.col("size").alias("more"), F.col("score").alias("added"))
+        moved = now.where("up is not null").join(above, ["tree", "up"]).select(
+            "tree", "message", F.col("next").alias("up"), (F.col("size") + F.col("more")).alias("size"), (F.col("score") + F.col("added")).alias("score"))
+        levels.append(written(now.where("up is null").unionByName(moved), "reply-pointers"))
+    return levels
+
+
 def format_paths(messages: DataFrame, chosen: DataFrame) -> DataFrame:
     """(tree, path_no, formatted, mask) of the chosen paths; mask is an array of (chars, loss) runs that covers ``formatted``.
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from overspend.session import shared_dir
+from overspend.session import remove_path, shared_dir
 
 #: Words are runs of anything but these six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,7 +28,15 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table in the cluster's shared folder: cuts lineage and outlives executors."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove the folders of written tables that nothing reads any more."""
+    for table in tables:
+        remove_path(table.sparkSession, table.written_to)
 
 
 def map_batches(df: DataFrame, function: Callable[[Iterator[Batch]], Iterator[Batch]], schema: str) -> DataFrame:
