@@ -34,12 +34,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, n_tokens) of each text, whose decoded bytes are compared with the text."""
+    """(doc_id, ids, n_tokens) of each text; the ids are decoded in the same step and compared with the text."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path, pattern), path, pattern)
-    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return coded.select("doc_id", F.when(same, F.col("ids")).otherwise(F.raise_error(F.lit("decoded bytes differ")).cast("array<int>")).alias("ids"),
-                        F.size("ids").cast("long").alias("n_tokens"))
+    coded = bpe.encode(docs.select("doc_id", "text"), path, pattern, check=True)
+    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"))
 
 
 STAGES = [("quality", drop_low_quality), ("near_duplicates", drop_near_duplicates), ("decontamination", drop_leaks), ("secrets", mask_secrets),

@@ -5,7 +5,8 @@ Latin-1, gives the longest token that starts at each place; a token is accepted
 before it, that is if merging the bytes of both gives just these two; otherwise shorter prefixes are tried, and then the last
 accepted token is taken back. Places known to be dead ends are marked, so each is left once. Which pairs of tokens go together
 is memorised. A sequence in which all neighbours go together is the result of the merges in rank order.
-Pieces that occur often are looked up: words of a text repeat, so a bounded store of pieces serves most of them.
+Pieces that occur often are looked up: words of a text repeat, so a bounded store of pieces serves most of them. Stores have two generations: when the
+young one is full it becomes the old one, whose entries come back when they are used again, so frequent entries outlive rare ones.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from overspend.llm.common import map_batches
 
 #: What the tokenizer's library takes as white space; \s of the regex package has four control characters more.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-STORED_PIECES, STORED_PAIRS = 400_000, 1_000_000
+#: Entries of a generation. A piece of at most 64 characters and its ids take about 300 bytes, a pair about 100.
+STORED_PIECES, STORED_PAIRS = 200_000, 300_000
 
 
 def same_spaces(pattern: str) -> str:
@@ -60,9 +62,12 @@ class Encoder:
         for token, rank in self.ranks.items():
             self.automaton.add_word(token[::-1].decode("latin-1"), rank)
         self.automaton.make_automaton()
+        self.sizes = [len(token) for token in self.tokens]
         self.shorter: dict[int, int] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.old_pairs: dict[tuple[int, int], bool] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.old_pieces: dict[str, tuple[int, ...]] = {}
 
     def _prefix(self, token: int) -> int:
         """The longest token that is a proper prefix of ``token``; -1 without one."""
@@ -73,44 +78,51 @@ class Encoder:
         return found
 
     def _together(self, left: int, right: int) -> bool:
-        if (known := self.pairs.get((left, right))) is None:
-            if len(self.pairs) >= STORED_PAIRS:
-                self.pairs.clear()
+        """Whether merging the bytes of both tokens gives just these two; for pairs that the young store does not know."""
+        known = self.old_pairs.get((left, right))
+        if known is None:
             a, b = self.tokens[left], self.tokens[right]
-            known = self.pairs[left, right] = merge(a + b, self.ranks) == [a, b]
+            known = merge(a + b, self.ranks) == [a, b]
+        if len(self.pairs) >= STORED_PAIRS:
+            self.pairs, self.old_pairs = {}, self.pairs
+        self.pairs[left, right] = known
         return known
 
     def _longest(self, piece: bytes) -> list[int]:
         """The longest token from each place on. The automaton holds reversed tokens and reads the piece backwards, so that the
-        longest match that ends at a character is the longest token that starts there."""
-        size, found = len(piece), [-1] * len(piece)
+        longest match that ends at a character, which it reports first, is the longest token that starts there."""
+        last, found = len(piece) - 1, [-1] * len(piece)
         for end, rank in self.automaton.iter(piece[::-1].decode("latin-1")):
-            at = size - 1 - end
-            if found[at] < 0 or len(self.tokens[rank]) > len(self.tokens[found[at]]):
-                found[at] = rank
+            if found[last - end] < 0:
+                found[last - end] = rank
         return found
 
     def encode_piece(self, piece: bytes) -> list[int]:
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        longest, tokens, size = self._longest(piece), self.tokens, len(piece)
+        longest, sizes, size = self._longest(piece), self.sizes, len(piece)
         alive = bytearray(b"\1") * (size + 1)
         ids: list[int] = []
-        at, token = 0, longest[0]
+        at, token, before = 0, longest[0], -1
         while at < size:
             while token >= 0:
-                end = at + len(tokens[token])
-                if alive[end] and (not ids or self._together(ids[-1], token)):
-                    break
+                end = at + sizes[token]
+                if alive[end]:
+                    if before < 0:
+                        break
+                    known = self.pairs.get((before, token))
+                    if known or (known is None and self._together(before, token)):
+                        break
                 token = self._prefix(token)
             if token >= 0:
                 ids.append(token)
-                at = end
+                at, before = end, token
                 token = longest[at] if at < size else -1
             else:
                 alive[at] = 0
                 token = ids.pop()
-                at -= len(tokens[token])
+                before = ids[-1] if ids else -1
+                at -= sizes[token]
         return ids
 
     def encode(self, text: str) -> list[int]:
@@ -119,10 +131,11 @@ class Encoder:
         for piece in self.find(text):
             known = pieces.get(piece)
             if known is None:
-                known = self.encode_piece(piece.encode("utf-8"))
+                known = self.old_pieces.get(piece) or tuple(self.encode_piece(piece.encode("utf-8")))
                 if len(piece) <= 64:
                     if len(pieces) >= STORED_PIECES:
-                        pieces.clear()
+                        self.pieces, self.old_pieces = {}, pieces
+                        pieces = self.pieces
                     pieces[piece] = known
             add(known)
         return ids
@@ -137,12 +150,21 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def encode(df: DataFrame, path: str, pattern: str, column: str = "text", ids: str = "ids") -> DataFrame:
-    """Add the ids of each text; a null text counts as empty. ``path`` must be readable on every worker."""
+def encode(df: DataFrame, path: str, pattern: str, column: str = "text", ids: str = "ids", check: bool = False) -> DataFrame:
+    """Add the ids of each text; a null text counts as empty. ``path`` must be readable on every worker.
+
+    With ``check`` the ids are decoded at once, in the same worker, and a difference to the text is an error.
+    """
+    def coded(code: Encoder, text: str) -> np.ndarray:
+        found = code.encode(text)
+        if check and code.decode(found) != text.encode("utf-8"):
+            raise ValueError("decoded bytes differ")
+        return np.array(found, np.int32)
+
     def run(batches):
         code = encoder(path, pattern)
         for batch in batches:
-            yield batch | {ids: [np.array(code.encode(text or ""), np.int32) for text in batch[column]]}
+            yield batch | {ids: [coded(code, text or "") for text in batch[column]]}
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != ids)
     return map_batches(df.drop(ids), run, f"{schema}, `{ids}` array<int>")
