@@ -17,7 +17,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from overspend.llm.common import GOLDEN, RollingHash, map_batches, mix, written
+from overspend.llm.common import GOLDEN, RollingHash, map_batches, mix, release, written
 from overspend.llm.unionfind import components
 
 PLACES, BAND = 128, 4
@@ -148,9 +148,13 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
     classes = written(classes, "classes")
     exploded = classes.select("rep", F.explode("bands").alias("bucket"))
     counts = exploded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    found = written(exploded.join(written(counts, "buckets"), "bucket", "left_semi"), "members")
+    buckets = written(counts, "buckets")
+    found = written(exploded.join(buckets, "bucket", "left_semi"), "members")
+    release(buckets)
     sets = written(_sets(df, found.select(F.col("rep").alias("id")).distinct(), words, key, column), "sets")
-    members = written(found.join(written(_cores(sets), "cores"), "rep"), "members")
+    cores = written(_cores(sets), "cores")
+    members = written(found.join(cores, "rep"), "members")
+    release(found, cores)
 
     links, tried, roots = [], [], None
     for _ in range(ROUNDS):
@@ -162,16 +166,21 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
         if roots is not None:
             others = now.join(pivots, "bucket").where(F.col("root") != F.col("top.root")).drop("top")
             pivots = pivots.unionByName(others.groupBy("bucket").agg(best))
-        near = now.join(written(pivots, "pivots"), "bucket").where(
+        pivots = written(pivots, "pivots")
+        near = now.join(pivots, "bucket").where(
             (F.col("root") != F.col("top.root")) & _possible(F.col("size"), F.col("core"), F.col("top.size"), F.col("top.core"), percent))
         pairs = near.select((-F.col("top.turned")).alias("a"), F.col("rep").alias("b")).distinct()
+        before = [pivots] if roots is None else [pivots, now, roots]
         links, tried, roots = _compared(pairs, links, tried, sets, percent)
+        release(*before)
     else:
         if (rest := _open(members, roots, sets, percent)).limit(1).count():
             links, tried, roots = _compared(_rest(rest, percent), links, tried, sets, percent)
+    release(sets, members, *tried)
 
     same_key = base.where("set_hash is not null and id is not null").join(classes.select("set_hash", "rep"), "set_hash").select("id", "rep")
     joined = written(components(_union(links).unionByName(same_key.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())), "roots")
+    release(classes, *links)
     return (base.select("id", "n_shingles").join(joined, "id", "left")
             .select(F.col("id").alias(key), "n_shingles", F.coalesce("root", "id").alias("component_id"))
             .withColumn("kept", F.col(key).isNull() | (F.col(key) == F.col("component_id"))))
@@ -220,17 +229,22 @@ def _open(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -
     A bucket is summed up by classes of size, each 2 % wide, with its largest core; a member stays if some class could hold a partner.
     """
     known = members.join(roots.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    known = written(known, "rooted")
+    rooted = known = written(known, "rooted")
     mixed = known.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    known = written(known.join(mixed, "bucket", "left_semi").drop("size", "core"), "mixed")
+    mixed = known = written(known.join(mixed, "bucket", "left_semi").drop("size", "core"), "mixed")
+    release(rooted)
     held = sets.join(known.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-    known = written(known.join(written(_parted_cores(held, roots), "cores"), "rep"), "mixed")
+    cores = written(_parted_cores(held, roots), "cores")
+    known = written(known.join(cores, "rep"), "mixed")
+    release(mixed, cores)
     classes = known.groupBy("bucket", F.floor(F.log("size") * 50).alias("class")).agg(
         F.min("size").alias("least"), F.max("core").alias("most"), F.min("root").alias("low"), F.max("root").alias("high"))
     shared = F.least("core", "most")
     fits = ((known["bucket"] == classes["bucket"]) & ((F.col("low") != F.col("root")) | (F.col("high") != F.col("root")))
             & ((100 + percent) * shared >= percent * (F.col("size") + F.col("least"))))
-    return written(known.join(classes, fits, "left_semi"), "open")
+    still_open = written(known.join(classes, fits, "left_semi"), "open")
+    release(known)
+    return still_open
 
 
 def _rest(members: DataFrame, percent: int) -> DataFrame:

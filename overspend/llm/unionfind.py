@@ -1,7 +1,7 @@
 """Connected components of a distributed edge list.
 
 Every task first joins its own edges with a union-find forest, which leaves one edge per node. Rounds of the
-large-star and small-star steps then join the forests of all tasks. Each round writes its edges to the shared folder, and only
+large-star and small-star steps then join the forests of all tasks. Each round writes its edges to the shared folder, removes those of the round before, and only
 two counts per round reach the driver. A node of very many edges is one row per task after partial aggregation.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from overspend.llm.common import map_batches, written
+from overspend.llm.common import map_batches, release, written
 
 
 class Forest:
@@ -66,6 +66,7 @@ def components(edges: DataFrame) -> DataFrame:
         inner = now.join(upper.withColumnRenamed("a", "b"), "b", "left_semi").limit(1).count()
         if not inner and not upper.where("n > 1").limit(1).count():
             break
-        now = written(_small_star(_large_star(now)), "forest")
+        before, now = now, written(_small_star(_large_star(now)), "forest")
+        release(before)
     roots = now.select(F.col("b").alias("id")).distinct()
     return now.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(roots.select("id", F.col("id").alias("root")))
