@@ -208,6 +208,8 @@ def read_archive(uri: str) -> Iterator[dict]:
         yield parse_record(gzip.decompress(ranges.read(base + entry["offset"], entry["length"])))
 
 
+#: Tasks that read archives; beyond this many archives a task reads several, one after the other.
+MOST_TASKS = 100_000
 FIELDS = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -227,7 +229,9 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
                         rows, size = [], 0
                 yield {name: [r[name] for r in rows] for name in names}
 
-    tasks = archives.select("uri").repartition(F.col("uri"))
+    # Ranges of names with an explicit number, so that the small list is not merged into one task.
+    names_only = archives.select("uri")
+    tasks = names_only.repartitionByRange(min(MOST_TASKS, max(1, names_only.count())), "uri")
     return map_batches(tasks, run, ", ".join(part for part in FIELDS.split(", ") if part.split()[0] in names))
 
 
