@@ -4,7 +4,8 @@ Texts are lower-cased and runs of blanks become one space. An item longer than `
 a leaked part counts too. A piece of m characters with at most k edits shares at least m + 1 - q(k + 1) of its q-grams with the place in the text, all within
 k + 1 neighbouring diagonals (text position less piece position). Shared q-grams are counted in bands of diagonals that overlap by the edit
 budget, so the right place lies inside one band; bands that reach the bound are aligned within the band. A piece matches with at most k edits; k is a
-tenth of its length, or as many as leave the bound at 1 for short ones.
+tenth of its length, or as many as leave the bound at 1 for short ones. Items of fewer than q characters have no q-gram; they are searched
+exactly, as whole words.
 
 The benchmark is the stated query set: it is sent to the tasks in blocks of bounded size, and every block meets all rows. Counting uses a
 symbol of one byte per character, which equal characters share, so no match is lost; alignment compares the characters themselves.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
@@ -35,7 +37,7 @@ def normal(text: str | None) -> str:
 
 
 def pieces(text: str) -> list[str]:
-    """Overlapping parts that cover the whole normalised item; an item shorter than q has none and cannot be found."""
+    """Overlapping parts that cover the whole normalised item; an item shorter than q has none and is searched as it is."""
     text = normal(text)
     if len(text) <= PIECE:
         return [text] if len(text) >= Q else []
@@ -64,13 +66,44 @@ def _slots(keys: np.ndarray) -> np.ndarray:
     return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).astype(np.intp)
 
 
+class ShortItems:
+    """Items of fewer than q characters. They match exactly and as whole words: no letter or digit touches a letter or digit at their ends."""
+
+    def __init__(self) -> None:
+        self.owners: dict[str, list[int]] = {}
+        self.automaton = ahocorasick.Automaton()
+
+    def add(self, item: int, text: str) -> None:
+        if 0 < len(text) < Q:
+            self.owners.setdefault(text, []).append(item)
+
+    def close(self) -> None:
+        for text in self.owners:
+            self.automaton.add_word(text, text)
+        self.automaton.make_automaton()
+
+    def places(self, text: str) -> dict[int, int]:
+        """The first place of each item in the normalised text."""
+        found: dict[int, int] = {}
+        if not self.owners:
+            return found
+        for last, word in self.automaton.iter(text):
+            start, end = last + 1 - len(word), last + 1
+            if start and word[0].isalnum() and text[start - 1].isalnum() or end < len(text) and word[-1].isalnum() and text[end].isalnum():
+                continue
+            for item in self.owners[word]:
+                found.setdefault(item, start)
+        return found
+
+
 class Index:
     """The q-grams of all pieces of a block of items."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
-        self.items, self.pieces = [], []
+        self.items, self.pieces, self.short = [], [], ShortItems()
         keys, owners, offsets = [], [], []
         for item, text in items:
+            self.short.add(item, normal(text))
             for piece in pieces(text):
                 found = grams(codes := points(piece))
                 keys.append(found)
@@ -89,6 +122,7 @@ class Index:
         self.offsets = (np.concatenate(offsets) if offsets else np.empty(0, np.int64))[order]
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[_slots(self.keys)] = True
+        self.short.close()
 
     def _regions(self, codes: np.ndarray) -> Iterator[tuple[int, int]]:
         """(piece, first diagonal of the band) of bands that reach the bound."""
@@ -125,8 +159,11 @@ class Index:
                     known[piece] = int(edits), start
             waiting.clear()
 
+        exact = []
         for row, text in enumerate(texts):
-            codes = points(normal(text))
+            text = normal(text)
+            exact.append(self.short.places(text))
+            codes = points(text)
             for offset in range(0, max(1, len(codes) - 4 * PIECE), step):
                 window = codes[offset:offset + WINDOW]
                 for piece, low in self._regions(window):
@@ -135,7 +172,9 @@ class Index:
                         settle()
         if waiting:
             settle()
-        return [{item: (len(best), min(e for e, _ in best.values()), min(s for _, s in best.values())) for item, best in one.items() if best} for one in found]
+        return [{item: (1, 0, start) for item, start in places.items()}
+                | {item: (len(best), min(e for e, _ in best.values()), min(s for _, s in best.values())) for item, best in one.items() if best}
+                for places, one in zip(exact, found)]
 
 
 def _region(text: np.ndarray, start: int, length: int) -> np.ndarray:
@@ -222,6 +261,8 @@ def leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", column: str
 
 
 def without_leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """The rows that hold no piece of any item, all columns as they were. Rows without a key are judged together, as one document."""
-    bad = leaks(df, benchmark, key, column).select(F.col(key).alias("_bad")).distinct()
-    return df.join(bad, df[key].eqNullSafe(F.col("_bad")), "left_anti")
+    """The rows that hold no piece of any item, all columns as they were. Each row is judged by its own text, whatever its key: rows without a key and rows that
+    repeat one are separate documents. A null text holds nothing."""
+    texts = df.where(F.col(column).isNotNull()).select(F.md5(F.col(column).cast("binary")).alias("doc_id"), F.col(column).alias("text"))
+    bad = leaks(texts, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
+    return df.join(bad, F.md5(df[column].cast("binary")) == F.col("_bad"), "left_anti")

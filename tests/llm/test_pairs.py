@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -206,6 +207,8 @@ def test_leaks_equal_brute_force(spark):
                 if (edits := edit_distance_within(piece, decontaminate.normal(text))) <= decontaminate.budget(len(piece)):
                     n, best = expected.get((i, item), (0, 1 << 30))
                     expected[i, item] = n + 1, min(best, edits)
+            if 0 < len(short := decontaminate.normal(question)) < 8 and re.search(rf"(?<!\w){re.escape(short)}(?!\w)", decontaminate.normal(text)):
+                expected[i, item] = 1, 0
     assert {(r.doc_id, r.item_id): (r.n_pieces, r.edits) for r in found} == expected
     assert len(expected) > 15 and any(e for _, e in expected.values())
 
@@ -222,6 +225,12 @@ def test_leak_edges(spark, monkeypatch):
     assert decontaminate.without_leaks(docs, benchmark).count() == len(edge_rows()) - 1
     assert decontaminate.without_leaks(docs, benchmark).columns == docs.columns
     assert decontaminate.leaks(docs, benchmark.where("false")).count() == 0 and decontaminate.leaks(empty(spark), benchmark).count() == 0
+    # Short items are found as whole words; rows without an id, and rows that share one, are judged each by its own text.
+    few = spark.createDataFrame([(1, "is it"), (2, "C++"), (3, "日本")], "item_id long, text string")
+    rows = [(1, "see: 42 IS  it?"), (2, "this item"), (3, "a C++ text"), (4, "日本語"), (None, "is it"), (None, "clean"), (5, "is it"), (5, "clean")]
+    docs_of = frame(spark, [(i, t, "en", "s") for i, t in rows])
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(docs_of, few).collect() if r.doc_id) == [(1, 1), (3, 2), (5, 1)]
+    assert sorted((r.doc_id or 0, r.text) for r in decontaminate.without_leaks(docs_of, few).collect()) == [(0, "clean"), (2, "this item"), (4, "日本語"), (5, "clean")]
     # A passage at the border of two windows, and a benchmark in many blocks.
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 10)
     monkeypatch.setattr(decontaminate, "WINDOW", 2000)

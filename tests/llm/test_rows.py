@@ -380,6 +380,13 @@ def test_stages_take_edge_rows(spark):
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
 
+def test_near_copies_of_unnamed_and_repeated_ids(spark):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(80)) for c in "abc")
+    rows = [(None, one), (None, one), (None, two), (3, one), (3, three), (3, three), (9, one + " end"), (4, two), (5, ""), (5, ""), (None, None), (None, None)]
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame(spark, [(i, t, "en", "s") for i, t in rows]), FOLDER).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted([(3, one), (3, three), (4, two), (5, ""), (5, ""), (0, ""), (0, "")])
+
+
 def test_sample_holds_the_least_hashes(spark):
     rows = [(i, f"text {i}") for i in range(500)] + [(7, "the same")] * 300 + [(None, "no id"), (3, None), (4, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
