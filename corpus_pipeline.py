@@ -15,11 +15,21 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the row of the smallest id of each group; rows without an id stay. Of rows that repeat an id one stays."""
-    groups = neardup.near_duplicates(docs, words=5, percent=80).where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(groups, "doc_id", "left_semi")
-    one = known.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """Keeps one row of each group of near copies: that of the smallest id, and of rows that share it one.
+
+    Rows are told apart by id and text, so rows without an id and rows that repeat an id with another text are documents of their own. Rows equal in both are
+    copies, of which one stays. Rows without words are linked with nothing and all stay.
+    """
+    row = max(docs.columns, key=len) + "_row"
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    found = neardup.near_duplicates(keyed.select(row, "text"), words=5, percent=80, key=row)
+    groups = found.groupBy(row).agg(F.min("component_id").alias("group"), F.max("n_shingles").alias("size"), F.count("*").alias("copies"))
+    named = keyed.groupBy(row).agg(F.min("doc_id").alias("id")).join(groups, row)
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", F.col(row).alias("row"), "copies", "size")).alias("first")
+    stay = written(named.groupBy("group").agg(first).select(F.col("first.row").alias(row), (F.expr("first.copies > 1 and first.size > 0")).alias("several")), "stay")
+    once = keyed.join(stay.where("not several"), row, "left_semi")
+    several = keyed.join(stay.where("several"), row, "left_semi").dropDuplicates([row])
+    return once.unionByName(several).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
