@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from helpers_llm import edge_rows, empty, frame, groups, shingle_set
+from helpers_llm import edge_rows, empty, frame, groups, lower, shingle_set, words
 from overspend.llm import decontaminate, neardup, repeats, unionfind
 
 WORDS = ["alpha", "Beta", "gamma", "delta", "eps", "zeta", "eta", "theta", "iota", "kappa", "lambda", "mu"] + [f"w{i}" for i in range(300)]
@@ -143,14 +143,14 @@ def test_repeats_equal_brute_force(spark, seed):
     texts = repeat_texts(random.Random(seed))
     found = repeats.digest(repeats.remove_repeats(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).repartition(5))).collect()
     expected = brute_repeats([(t or "").encode() for t in texts])
-    assert {r.doc_id: tuple(r)[1:] for r in found} == dict(enumerate(expected))
+    assert {r.doc_id: tuple(r)[1:5] for r in found} == dict(enumerate(expected))
 
 
 def test_repeats_of_tables(spark):
     documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = documents.collect()
     found = repeats.digest(repeats.remove_repeats(documents)).collect()
-    assert {r.doc_id: tuple(r)[1:] for r in found} == dict(zip([r.doc_id for r in rows], brute_repeats([r.text.encode() for r in rows])))
+    assert {r.doc_id: tuple(r)[1:5] for r in found} == dict(zip([r.doc_id for r in rows], brute_repeats([r.text.encode() for r in rows])))
 
 
 def test_repeat_edges(spark):
@@ -165,6 +165,38 @@ def test_repeat_edges(spark):
     assert repeats.digest(repeats.remove_repeats(empty(spark))).count() == 0
 
 
+def brute_sharers(texts):
+    holders = {}
+    for row, text in enumerate(texts):
+        found = words(lower(text))
+        for i in range(len(found) - 50):
+            holders.setdefault(tuple(found[i:i + 51]), set()).add(row)
+    return {row for rows in holders.values() if len(rows) > 1 for row in rows}
+
+
+def test_passage_sharers_equal_brute_force(spark):
+    rng = random.Random(6)
+    short = " ".join(rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(70))
+    parts = short.split()
+    texts = repeat_texts(random.Random(1)) + [" ".join(f"{c}{k}" for k in range(60)) for c in "mn"] + [
+        prose(rng, 30) + " " + " ".join(parts[a:a + n]).upper() + "\n" + prose(rng, 30) for a, n in ((0, 51), (5, 51), (9, 55), (0, 50), (10, 50), (19, 51))]
+    texts += ["own " * 200, prose(rng, 60) + " " + " ".join(parts[2:50])]
+    found = repeats.remove_repeats(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).repartition(3)).collect()
+    assert {r.doc_id for r in found if r.shares_passage} == brute_sharers(texts)
+    twice = repeats.remove_repeats(frame(spark, [(1, short, "en", "s"), (1, short, "en", "s"), (2, "own " * 200, "en", "s"), (None, None, "en", "s")])).collect()
+    assert sorted((r.doc_id or 0, r.shares_passage) for r in twice) == [(0, False), (1, True), (1, True), (2, False)]
+
+
+def test_word_marks_cover_every_window(monkeypatch):
+    monkeypatch.setattr(repeats, "WORD_SEGMENT", 80)
+    hashes = neardup.word_hashes(prose(random.Random(9), 700))
+    seen = []
+    for _, place, low, high in repeats.word_marks(hashes):
+        assert low <= high <= place <= low + 50 - 16
+        seen += range(low, high + 1)
+    assert seen == list(range(650)) and list(repeats.word_marks(hashes[:50])) == []
+
+
 def test_marks_cover_every_window(monkeypatch):
     monkeypatch.setattr(repeats, "SEGMENT", 2000)
     data = np.frombuffer(prose(random.Random(4), 1500).encode(), np.uint8)
