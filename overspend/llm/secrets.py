@@ -1,9 +1,10 @@
 """Secret scans by reading assignments.
 
 A lexer reads name-literal pairs from source and configuration syntax: ``name = "..."``, ``name: value``, ``"name" => '...'``,
-``export NAME=value``, ``<name>value</name>``, ``--name value``. Literals that are joined by + are one value. Constants propagate: a name that was given
-a literal stands for it where a later assignment uses the bare name, ``${name}`` or ``$name``, so a literal with a harmless name counts
-as secret once it flows to a sensitive one. Literals are scored by the names they reach and by how random they look; those at or
+``export NAME=value``, ``<name>value</name>``, ``--name value``, and calls whose last argument is a literal, ``set_password("...")``. Block comments
+between them are blanks. Literals and names that are joined by + are one value. Entries of a map that has a name of weight 3 or more inherit it. Constants
+propagate, through any number of steps: a bare name, ``${name}`` or ``$name`` stands for the literals of its nearest earlier definition, or of its first
+later one, so a literal with a harmless name counts as secret once it flows to a sensitive one. Literals are scored by the names they reach and by how random they look; those at or
 above ``threshold`` are reported as ``literal`` spans. Three fixed shapes are always reported: assign, access and hex.
 All spans are in code points, end exclusive.
 
@@ -12,6 +13,7 @@ Null and empty texts have no spans. Texts are read whole, one at a time; repeate
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -33,18 +35,21 @@ BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "literal")
 
 #: Parts of names and how much they say that the value is secret.
-NAME_WEIGHTS = {"password": 3, "passwd": 3, "passphrase": 3, "pwd": 3, "secret": 3, "token": 2, "apikey": 3, "credential": 2, "credentials": 2,
+NAME_WEIGHTS = {"password": 3, "passwd": 3, "pass": 3, "passphrase": 3, "pwd": 3, "secret": 3, "token": 2, "apikey": 3, "credential": 2, "credentials": 2,
                 "auth": 2, "authorization": 2, "bearer": 2, "private": 1, "access": 1, "api": 1, "key": 1, "signing": 1, "encryption": 1, "session": 1, "salt": 1}
 PLAIN = re.compile(r"(?i)example|changeme|placeholder|dummy|sample|your[_-]|xxxx|\*\*\*|^(true|false|null|none|undefined|test)$")
 NAME = r"[A-Za-z_][A-Za-z0-9_.-]*"
 QUOTED = r'"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\'|`[^`\n]*`'
+OPERAND = rf"(?:{QUOTED}|\$\{{?{NAME}\}}?|[A-Za-z0-9+/_.=~$-]+)"
 PAIR = re.compile(
-    rf"""(?P<name>{NAME})["'\]]?[\x20\t]*(?:=>|:=|=(?!=)|:(?!:))[\x20\t]*(?P<value>(?:{QUOTED})(?:[\x20\t]*\+[\x20\t]*(?:{QUOTED}))*|\$\{{?{NAME}\}}?|[A-Za-z0-9+/_.=~$-]+)"""
-    rf"""|<(?P<tag>{NAME})>(?P<body>[^<\n]+)</(?P=tag)>|--(?P<flag>{NAME})[\x20=](?P<word>[^\s"']+|{QUOTED})""", re.A)
-PIECE = re.compile(QUOTED)
+    rf"""(?P<name>{NAME})["'\]]?[\x20\t]*(?:=>|:=|=(?!=)|:(?!:))[\x20\t]*(?P<value>{OPERAND}(?:[\x20\t]*\+[\x20\t]*{OPERAND})*)"""
+    rf"""|<(?P<tag>{NAME})>(?P<body>[^<\n]+)</(?P=tag)>|--(?P<flag>{NAME})[\x20=](?P<word>[^\s"']+|{QUOTED})"""
+    rf"""|(?P<call>{NAME})\([^()\n"'`=]*(?P<last>{QUOTED})[\x20\t]*\)""", re.A)
+PIECE = re.compile(rf"(?:^|[\x20\t]*\+[\x20\t]*)({OPERAND})", re.A)
+COMMENT = re.compile(r"/\*.*?\*/", re.S)
+#: Braces, with the name that a map was given; quoted braces do not count.
+SCOPE = re.compile(rf"""["']?(?P<name>{NAME})["']?\s*(?:=>|=|:)\s*\{{|{QUOTED}|(?P<brace>[{{}}])""", re.A)
 NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-#: A sensitive word somewhere is what makes a text worth reading.
-WORTH = tuple(sorted({"password", "passwd", "passphrase", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "private", "session", "salt"}))
 
 
 def base_spans(text: str) -> list[Span]:
@@ -75,36 +80,71 @@ def literal_score(value: str) -> int:
     return 1 + (bits >= 3.0) + (len(value) >= 16)
 
 
-def pairs(text: str) -> list[tuple[str, str, list[tuple[int, int]], bool]]:
-    """(name, value, spans of the value's literals, whether it is a bare word) in order."""
+def scopes(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, name) of maps whose name alone has weight 3 or more; an open one reaches to the end."""
+    found, stack = [], []
+    for m in SCOPE.finditer(text):
+        if m["name"] or m["brace"] == "{":
+            stack.append((m.end(), m["name"] or ""))
+        elif m["brace"] and stack:
+            start, name = stack.pop()
+            found.append((start, m.start(), name))
+    found += [(start, len(text), name) for start, name in stack]
+    return [one for one in found if name_score(one[2]) >= 3]
+
+
+def pairs(text: str) -> list[tuple[str, list[tuple[str, int, int, bool]]]]:
+    """(name, operands) in order; an operand is (value, start, end, whether it may be a name)."""
     found = []
     for m in PAIR.finditer(text):
-        group, label = next((g, n) for g, n in (("value", "name"), ("body", "tag"), ("word", "flag")) if m[g] is not None)
-        raw, at = m[group], m.start(group)
-        if raw[0] in "\"'`":
-            pieces = [(at + p.start() + 1, at + p.end() - 1) for p in PIECE.finditer(raw)]
-            found.append((m[label], "".join(text[a:b] for a, b in pieces), pieces, False))
-        else:
-            found.append((m[label], raw, [(at, at + len(raw))], group == "value"))
+        group, label = next((g, n) for g, n in (("value", "name"), ("body", "tag"), ("word", "flag"), ("last", "call")) if m[g] is not None)
+        at, operands = m.start(group), []
+        pieces = [(at, m.end(group))] if group in ("body", "word") else [(at + p.start(1), at + p.end(1)) for p in PIECE.finditer(m[group])]
+        for a, b in pieces:
+            quoted = text[a] in "\"'`" and b - a > 1
+            operands.append((text[a + 1:b - 1], a + 1, b - 1, False) if quoted else (text[a:b], a, b, group == "value"))
+        found.append((m[label], operands))
     return found
 
 
+def resolved(known: list, index: int, defined: dict[str, list[int]]) -> list[tuple[str, int, int]]:
+    """(value, start, end) of the literals that make up the value of pair ``index``; names stand for what they were given, each definition once, so circles
+    end and long chains cost their length."""
+    out, seen = [], {index}
+    waiting = [(index, operand) for operand in reversed(known[index][1])]
+    while waiting:
+        owner, (value, start, end, bare) = waiting.pop()
+        places = defined.get(value.strip("${}"), []) if bare else []
+        at = bisect.bisect_left(places, owner)
+        source = places[at - 1] if at else next((k for k in places if k != owner), None)
+        if source is None:
+            out.append((value, start, end))
+        elif source not in seen:
+            seen.add(source)
+            waiting += [(source, operand) for operand in reversed(known[source][1])]
+    return out
+
+
 def literal_spans(text: str, threshold: int = 5) -> list[Span]:
     """Literals whose own name, or a name they flow to, is sensitive and that look random enough."""
     lower = text.lower()
-    if not any(sign in text for sign in ("=", ":", "--", "</")) or not any(word in lower for word in WORTH):
+    if not any(sign in text for sign in ("=", ":", "--", "</", "(")) or not any(word in lower for word in NAME_WEIGHTS):
         return []
-    constants: dict[str, tuple[str, list[tuple[int, int]]]] = {}
+    if "/*" in text:
+        text = COMMENT.sub(lambda m: re.sub(r"[^\n]", " ", m[0]), text)
+    known, defined = pairs(text), {}
+    for index, (name, _) in enumerate(known):
+        defined.setdefault(name, []).append(index)
+    maps = scopes(text) if "{" in text else []
     best: dict[tuple[int, int], int] = {}
-    for name, value, places, bare in pairs(text):
-        if bare and (known := constants.get(value.strip("${}"))):
-            value, places = known
-        constants[name] = value, places
-        own = name_score(name)
-        if own < 2 or not (looks := literal_score(value)):
+    for index, (name, operands) in enumerate(known):
+        own = name_score(".".join([name, *(n for a, b, n in maps if a <= operands[0][1] < b)]))
+        if own < 2:
             continue
-        for place in places:
-            best[place] = max(best.get(place, 0), own + looks)
+        parts = resolved(known, index, defined)
+        if looks := literal_score("".join(value for value, _, _ in parts)):
+            for _, start, end in parts:
+                best[start, end] = max(best.get((start, end), 0), own + looks)
     return [("literal", a, b) for (a, b), score in best.items() if score >= threshold and b > a]
 
 

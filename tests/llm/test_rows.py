@@ -126,6 +126,30 @@ def test_literals_follow_assignments():
         assert texts_of(clean) == []
 
 
+VALUE = "hJ8kQ2mZ9vT4bW7c"
+
+
+@pytest.mark.parametrize("text, literals", [
+    (f'client_pwd = A\nA = "{VALUE}"', [VALUE]),                                          # defined later
+    (f'a = "{VALUE}"\nb = a\nc = b\nclient_pwd = c', [VALUE]),                            # several steps
+    (f'a = "{VALUE}"\na = "plain"\nclient_pwd = a', []),                                 # the nearest definition counts
+    (f'P = "aB3$efgh"\npwd = P + "Zk9!mnop"', ["aB3$efgh", "Zk9!mnop"]),                  # a name inside a concatenation
+    (f'{{"pass": {{"prod": "{VALUE}", "x": {{}}}}, "color": "{VALUE}1"}}', [VALUE]),       # entries inherit the name of their map
+    (f'set_passphrase("{VALUE}")', [VALUE]), (f'login(user, "{VALUE}")', []),             # calls
+    (f'client_pwd = /* old */ "{VALUE}"', [VALUE]),                                       # comments
+    ('access_api = "Xy12ab34Cd56Ef78!"', ["Xy12ab34Cd56Ef78!"]), ('access_api = "Xy12ab34Cd56Ef78!"\na token', ["Xy12ab34Cd56Ef78!"]),
+    ("pwd = a\na = b\nb = pwd", []), ("pwd = pwd", [])])                                   # circles
+def test_literals_reach_sensitive_names(text, literals):
+    assert texts_of(text) == [("literal", one) for one in literals]
+
+
+def test_long_chains_of_names():
+    doubled = "\n".join(f"m{k} = m{k + 1} + m{k + 1}" for k in range(60)) + f'\nm60 = "{VALUE}"\nclient_pwd = m0'
+    assert texts_of(doubled) == [("literal", VALUE)]
+    text = "\n".join(f"n{k} = n{k + 1}" for k in range(3000)) + f'\nn3000 = "{VALUE}"\nclient_pwd = n0'
+    assert texts_of(text) == [("literal", VALUE)]
+
+
 def test_secret_query_and_edges(spark):
     found = {r.doc_id: r for r in queries.op4_secrets(spark, FOLDER).collect()}
     for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect():
