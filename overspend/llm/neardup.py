@@ -115,13 +115,13 @@ def signatures(df: DataFrame, words: int, key: str = "doc_id", column: str = "te
 
 
 def _sets(df: DataFrame, ids: DataFrame, words: int, key: str, column: str) -> DataFrame:
-    """Full shingle sets of the texts to be compared."""
+    """Full shingle sets of the texts to be compared. Rows that repeat id and text are dropped where the join by id has brought them together, before sets exist."""
     def run(batches):
         for batch in batches:
             yield {"id": batch["id"], "items": [shingles(text, words).view(np.int64) for text in batch["text"]]}
 
-    rows = df.select(F.col(key).alias("id"), F.col(column).alias("text")).join(ids, "id", "left_semi")
-    return map_batches(rows, run, "id long, items array<long>").distinct()
+    rows = df.select(F.col(key).alias("id"), F.col(column).alias("text")).join(ids, "id", "left_semi").distinct()
+    return map_batches(rows, run, "id long, items array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -156,11 +156,14 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
     members = written(found.join(cores, "rep"), "members")
     release(found, cores)
 
-    links, tried, roots = [], [], None
+    links, tried, roots, opened = [], [], None, [members]
     for _ in range(ROUNDS):
-        now = members.withColumn("root", F.col("rep")) if roots is None else _open(members, roots, sets, percent)
-        if roots is not None and not now.limit(1).count():
-            break
+        now = members.withColumn("root", F.col("rep"))
+        if roots is not None:
+            now = _open(opened[-1], roots, sets, percent)
+            opened.append(now)
+            if not now.limit(1).count():
+                break
         best = F.max(F.struct((F.col("core") / F.col("size")).alias("share"), (-F.col("rep")).alias("turned"), "root", "core", "size")).alias("top")
         pivots = now.groupBy("bucket").agg(best)
         if roots is not None:
@@ -170,13 +173,14 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
         near = now.join(pivots, "bucket").where(
             (F.col("root") != F.col("top.root")) & _possible(F.col("size"), F.col("core"), F.col("top.size"), F.col("top.core"), percent))
         pairs = near.select((-F.col("top.turned")).alias("a"), F.col("rep").alias("b")).distinct()
-        before = [pivots] if roots is None else [pivots, now, roots]
+        before = [pivots] if roots is None else [pivots, roots]
         links, tried, roots = _compared(pairs, links, tried, sets, percent)
         release(*before)
     else:
-        if (rest := _open(members, roots, sets, percent)).limit(1).count():
-            links, tried, roots = _compared(_rest(rest, percent), links, tried, sets, percent)
-    release(sets, members, *tried)
+        opened.append(_open(opened[-1], roots, sets, percent))
+        if opened[-1].limit(1).count():
+            links, tried, roots = _compared(_rest(opened[-1], percent), links, tried, sets, percent)
+    release(sets, *opened, *tried)
 
     same_key = base.where("set_hash is not null and id is not null").join(classes.select("set_hash", "rep"), "set_hash").select("id", "rep")
     joined = written(components(_union(links).unionByName(same_key.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())), "roots")
@@ -226,12 +230,13 @@ def _possible(size_a, core_a, size_b, core_b, percent: int):
 def _open(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Members, with their component, that may be linked to a member of another component in their bucket.
 
-    A bucket is summed up by classes of size, each 2 % wide, with its largest core; a member stays if some class could hold a partner.
+    A bucket is summed up by classes of size, each 2 % wide, with its largest core; a member stays if some class could hold a partner. Components only grow and
+    cores only shrink, and both ends of a possible link stay, so ``members`` may be what an earlier call left open.
     """
-    known = members.join(roots.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    known = members.select("bucket", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     rooted = known = written(known, "rooted")
     mixed = known.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    mixed = known = written(known.join(mixed, "bucket", "left_semi").drop("size", "core"), "mixed")
+    mixed = known = written(known.join(mixed, "bucket", "left_semi"), "mixed")
     release(rooted)
     held = sets.join(known.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
     cores = written(_parted_cores(held, roots), "cores")
