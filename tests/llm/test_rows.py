@@ -187,24 +187,41 @@ def test_statistics_equal_brute_force(spark):
     assert quality.judge(frame(spark, edge_rows())).count() == len(edge_rows())
 
 
+FLOOR = np.diag([float(quality.FLOORS[n] ** 2) for n in quality.FEATURES])
+
+
+def least(values, share):
+    return np.sort(values)[int(np.ceil(len(values) * share)) - 1]
+
+
+def settled(x, mean, cov):
+    """(log determinant, mean, covariance) at which concentration from a start ends."""
+    was, shape = np.inf, cov + FLOOR
+    for step in range(quality.STEPS):
+        d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(shape), x - mean)
+        bins = np.floor(100 * np.log1p(d))
+        near = x[bins <= least(bins, quality.KEEP_SHARE)]
+        mean, shape = near.mean(0), np.cov(near.T, bias=True) * quality.CONSISTENCY + FLOOR
+        now = np.linalg.slogdet(shape)[1]
+        if step and now >= was - quality.FALL:
+            break
+        was = now
+    return now, mean, shape
+
+
 def brute_distances(rows):
     """Squared distances by group with numpy; rows: (group, vector)."""
-    out, order = {}, sorted({g for g, _ in rows})
-    floors = np.diag([float(quality.FLOORS[n] ** 2) for n in quality.FEATURES])
-    for group in order:
+    out, rng = {}, np.random.default_rng(3)
+    for group in sorted({g for g, _ in rows}):
         x = np.array([v for g, v in rows if g == group], float)
-
-        def least(values, share):
-            return np.sort(values)[int(np.ceil(len(values) * share)) - 1]
-
-        mean = np.array([least(c, 0.5) for c in x.T])
-        cov, scale = np.diag([(1.4826 * least(abs(c - m), 0.5)) ** 2 for c, m in zip(x.T, mean)]), 1.0
-        for _ in range(quality.STEPS):
-            d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov * scale + floors), x - mean)
-            bins = np.floor(100 * np.log1p(d))
-            near = x[bins <= least(bins, quality.KEEP_SHARE)]
-            mean, cov, scale = near.mean(0), np.cov(near.T, bias=True), quality.CONSISTENCY
-        out[group] = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov * scale + floors), x - mean)
+        middle = np.array([least(c, 0.5) for c in x.T])
+        spread = np.diag([(1.4826 * least(abs(c - m), 0.5)) ** 2 for c, m in zip(x.T, middle)])
+        det, mean, shape = min((settled(x, middle, spread), settled(x, x.mean(0), np.cov(x.T, bias=True))), key=lambda e: e[0])
+        # No random start of five rows ends at a determinant that is much smaller.
+        for _ in range(40):
+            few = x[rng.choice(len(x), 5, replace=False)]
+            assert settled(x, few.mean(0), np.cov(few.T, bias=True))[0] > det - 0.1, group
+        out[group] = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(shape), x - mean)
     return out
 
 
