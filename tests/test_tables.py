@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from overspend import schemas
 from overspend.operators.clean import parse_records
-from overspend.session import path_exists, shared_dir
+from overspend.session import folder_names, path_exists, shared_dir
 from overspend.sources import readers, writers
 from overspend.streaming import jobs
 
@@ -93,6 +93,49 @@ def test_upsert_takes_new_columns_and_empty_batches(spark, folder):
     assert {r.id: r.extra for r in writers.read_upserted(spark, folder).collect()} == {"a": None, "b": "x"}
 
 
+def test_upsert_rewrites_follow_the_logarithm_of_the_batches(spark, folder, monkeypatch):
+    """24 batches of new keys, one old key and one row without a key; the buckets are rewritten a few times, not 24 times."""
+    rewrites, real = [], writers.write_partitions
+    monkeypatch.setattr(writers, "write_partitions", lambda *a: (rewrites.append(1), real(*a)))
+    wanted = {}
+    for number in range(24):
+        rows = {f"k{number * 50 + i}": i for i in range(50)} | {"k7": 1000 + number}
+        wanted |= rows
+        writers.upsert(batch(spark, *((k, v, 0) for k, v in rows.items()), (None, number, 0)).coalesce(1), folder, "id", ["at"], 2, f"s-{number}")
+    got = [(r.id, r.v) for r in writers.read_upserted(spark, folder).collect()]
+    assert len(rewrites) <= 14 and len(folder_names(spark, f"{folder}_log/runs")) <= 2 * writers.JOINED
+    assert sorted(v for k, v in got if k is None) == list(range(24))
+    assert {k: v for k, v in got if k is not None} == wanted and len(got) == len(wanted) + 24
+    writers.upsert(batch(spark, ("k7", -1, 0)), folder, "id", ["at"], 2, "s-22")
+    assert stored(spark, folder)["k7"] == 1023
+
+
+def test_upsert_joins_runs_of_one_size(spark, folder):
+    """Small batches on a large table stay beside it; eight of them become one run, and a run within a longer one counts no more."""
+    big = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("id"), F.lit(0).alias("v"), F.lit(0).alias("at"))
+    writers.upsert(big, folder, "id", ["at"], 1, "s-0")
+    for number in range(1, writers.JOINED + 2):
+        writers.upsert(batch(spark, ("k1", number, 0)).coalesce(1), folder, "id", ["at"], 1, f"s-{number}")
+    names = folder_names(spark, f"{folder}_log/runs")
+    assert len(names) == 2 and names[0].split("_")[2] == "1"
+    spark.read.parquet(f"{folder}_log/runs/{names[0]}").withColumn("v", F.lit(-5)).write.parquet(f"{folder}_log/runs/00000002_00000002_0_s-3")
+    assert stored(spark, folder)["k1"] == writers.JOINED + 1 and writers.read_upserted(spark, folder).count() == 20_000
+
+
+def test_upsert_knows_a_run_whose_note_is_missing(spark, folder, monkeypatch):
+    """A batch that was written before its note died is applied once, also if another stream comes between."""
+    big = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("id"), F.lit(0).alias("v"), F.lit(0).alias("at"))
+    writers.upsert(big, folder, "id", ["at"], 1, "s-0")
+    real = writers._note
+    monkeypatch.setattr(writers, "_note", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        writers.upsert(batch(spark, ("k1", 5, 0)), folder, "id", ["at"], 1, "s-1")
+    monkeypatch.setattr(writers, "_note", real)
+    writers.upsert(batch(spark, ("k1", 7, 0)), folder, "id", ["at"], 1, "other-0")
+    writers.upsert(batch(spark, ("k1", 5, 0)), folder, "id", ["at"], 1, "s-1")
+    assert stored(spark, folder)["k1"] == 7
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     rows = spark.range(5000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("at"))
     plan = writers.latest_per_key(rows, "k", ["at"])
