@@ -23,11 +23,11 @@ def event_stream(spark, sf):
     return readers.stream_files(spark, sf, schemas.EVENT, name_pattern="events.parquet")
 
 
-def record_stream(spark, sf, rows_per_file: int = 60_000):
-    """Topic records as a stream of files, written by as many tasks as the scan has; a file is a micro-batch."""
+def record_stream(spark, sf, rows_per_file: int = 60_000, files_per_batch: int = 32):
+    """Topic records as a stream of files, written by as many tasks as the scan has; the files of a micro-batch are read side by side."""
     folder = shared_dir(spark, "topic")
     records(spark, sf).write.option("maxRecordsPerFile", rows_per_file).parquet(folder)
-    return readers.stream_files(spark, folder, schemas.TOPIC_RECORD, files_per_batch=1)
+    return readers.stream_files(spark, folder, schemas.TOPIC_RECORD, files_per_batch=files_per_batch)
 
 
 def finished(spark, stream, purpose: str):

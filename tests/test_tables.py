@@ -191,6 +191,19 @@ def test_silver_stream_over_several_batches(spark, folder):
         "a": 7.0, "c": 5.0}
 
 
+def test_topic_files_share_a_micro_batch(spark, folder):
+    """Ten files of a topic are read side by side, in one micro-batch."""
+    from overspend.plans import streams
+
+    key = F.col("id")
+    spark.range(0, 1000, 1, 1).select(
+        key.alias("o_orderkey"), key.alias("o_custkey"), F.lit("O").alias("o_orderstatus"), F.lit(5.0).alias("o_totalprice"),
+        F.lit("2024-01-04").cast("timestamp_ntz").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority")).write.parquet(f"{folder}/orders.parquet")
+    sizes = []
+    jobs.run(jobs.batch_stream(streams.record_stream(spark, folder, rows_per_file=100), lambda rows, number: sizes.append(rows.count()), f"{folder}/checkpoint"))
+    assert sizes == [1000]
+
+
 def test_append_windows_close_and_drop_late_rows(spark, folder):
     def deliver(*minutes):
         writers.append(spark.createDataFrame([(m,) for m in minutes], "m int").select(
