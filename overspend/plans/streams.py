@@ -79,13 +79,13 @@ def _plain_times(df):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
-@query("stream_window_count", WINDOWS + " HAVING window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)")
+@query("stream_window_count", WINDOWS)
 def stream_window_count(spark, sf):
-    """Closed windows, appended by day as the watermark passes them; windows that are still open stay in the state."""
+    """All windows: each micro-batch writes those it changed, the last count of a window holds, and the state keeps open windows only."""
     folder = shared_dir(spark, "windows")
-    counted = jobs.window_counts(event_stream(spark, sf), "ts", "event_type").withColumn("day", F.to_date("window_start"))
-    jobs.run(jobs.append_stream(counted, f"{folder}/table", f"{folder}/checkpoint", by="day"))
-    return _plain_times(readers.read_table(spark, f"{folder}/table").drop("day"))
+    counted = jobs.window_counts(event_stream(spark, sf), "ts", "event_type")
+    jobs.run(jobs.update_stream(counted, f"{folder}/table", f"{folder}/checkpoint"))
+    return _plain_times(jobs.newest(readers.read_table(spark, f"{folder}/table"), ["window_start", "window_end", "event_type"]))
 
 
 @query("window_count_batch", WINDOWS)

@@ -44,6 +44,23 @@ def batch_stream(df: DataFrame, handle: Callable[[DataFrame, int], None], checkp
             .trigger(availableNow=True).start())
 
 
+def update_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the rows that each micro-batch changed to a folder of its own, over those of the same batch before a restart.
+
+    Windows that the watermark has passed leave the state; those still open are in the table as far as they have been counted. ``newest`` reads it.
+    """
+    def handle(rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return batch_stream(df, handle, checkpoint, mode="update")
+
+
+def newest(changes: DataFrame, keys: list[str]) -> DataFrame:
+    """The last state of each key in a table of changes by batch."""
+    rest = [F.col(c) for c in changes.columns if c not in (*keys, "batch")]
+    return changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("row")).select(*keys, "row.*")
+
+
 def silver_stream(records: DataFrame, path: str, checkpoint: str, buckets: int | None = None, strict: bool = False) -> StreamingQuery:
     """Topic records to parsed, valid contracts, upserted by id; a repeated batch changes nothing."""
     silver = to_silver(parse_records(records), strict)

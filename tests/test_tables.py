@@ -204,6 +204,39 @@ def test_topic_files_share_a_micro_batch(spark, folder):
     assert sizes == [1000]
 
 
+def test_update_stream_keeps_open_windows(spark, folder):
+    """Windows that no watermark has passed are in the table, with their last count; closed ones leave the state."""
+    def deliver(*minutes):
+        writers.append(spark.createDataFrame([(m,) for m in minutes], "m int").select(
+            F.timestamp_seconds(F.col("m") * 60).cast("timestamp_ntz").alias("ts"), F.lit("k").alias("k")), f"{folder}/in")
+        source = readers.stream_files(spark, f"{folder}/in", "ts timestamp_ntz, k string")
+        query = jobs.update_stream(jobs.window_counts(source, "ts", "k"), f"{folder}/out", f"{folder}/checkpoint")
+        query.awaitTermination()
+        return query.lastProgress.stateOperators[0].numRowsTotal
+
+    held = [deliver(7, 8), deliver(8, 9), deliver(300), deliver(301, 600)]
+    table = jobs.newest(readers.read_table(spark, f"{folder}/out"), ["window_start", "window_end", "k"])
+    got = {(int(r.s) // 60, r.n) for r in table.select(F.unix_seconds("window_start").alias("s"), "n").collect()}
+    assert got == {(0, 4), (5, 4), (295, 2), (300, 2), (595, 1), (600, 1)}
+    assert max(held) <= 4
+
+
+def test_window_query_gives_every_window(spark, folder):
+    """Also the windows within ten minutes of the last event."""
+    from overspend.plans import streams
+
+    rows = [(i, 60 * i, "a" if i % 3 else "b") for i in range(25)]
+    spark.createDataFrame(rows, "event_id long, s long, event_type string").select(
+        "event_id", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"), F.lit(1).cast("long").alias("user_id"), "event_type",
+        F.lit(1.0).alias("value"), F.lit("{}").alias("props")).coalesce(1).write.parquet(f"{folder}/parts")
+    source = [n for n in folder_names(spark, f"{folder}/parts") if n.endswith(".parquet")][0]
+    move = spark._jvm.org.apache.hadoop.fs.Path
+    system = move(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    assert system.rename(move(f"{folder}/parts/{source}"), move(f"{folder}/events.parquet"))
+    got = sorted(streams.stream_window_count(spark, folder).collect())
+    assert got == sorted(streams.window_count_batch(spark, folder).collect()) and len(got) == 12
+
+
 def test_append_windows_close_and_drop_late_rows(spark, folder):
     def deliver(*minutes):
         writers.append(spark.createDataFrame([(m,) for m in minutes], "m int").select(
