@@ -7,9 +7,10 @@ import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
-from overspend.operators import encode, models, profile, trees
+from overspend.operators import encode, feature_tables, models, profile, trees
 from overspend.operators.feature_tables import FeatureTables
 from overspend.session import shared_dir
 
@@ -133,6 +134,16 @@ def test_word_vector_parts_are_a_parameter():
     assert models.word2vec().getNumPartitions() == models.WORD_PARTS and models.word2vec(numPartitions=3).getNumPartitions() == 3
 
 
+def test_feature_tables_store_wide_rows_once(spark, contracts, monkeypatch):
+    """Only the rows with their tokens are stored on the way; the scaler reads the features without a table of them."""
+    removed, real = [], feature_tables.remove_path
+    monkeypatch.setattr(feature_tables, "remove_path", lambda session, path: (removed.append(path.rsplit("/", 1)[1]), real(session, path)))
+    tables = models.FeatureTables.build(contracts.coalesce(1), shared_dir(spark, "once"), w2v=SMALL, parts=4)
+    assert removed == ["rows"] and tables.train.count() + tables.test.count() == contracts.count()
+    seen = tables.train.agg(Summarizer.mean(F.col("features")).alias("m"), Summarizer.std(F.col("features")).alias("s")).first()
+    assert max(abs(m) for m in seen.m) < 1e-6 and all(abs(d - 1) < 1e-6 or d == 0 for d in seen.s)
+
+
 def test_price_model_round_trip(spark, contracts):
     """Fitted on earlier rows, saved and loaded: the same scores; a huge new value is flagged."""
     train, test, _ = encode.temporal_split(contracts, "fecha_firma")
