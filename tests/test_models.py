@@ -134,6 +134,19 @@ def test_word_vector_parts_are_a_parameter():
     assert models.word2vec().getNumPartitions() == models.WORD_PARTS and models.word2vec(numPartitions=3).getNumPartitions() == 3
 
 
+def test_word_vector_parts_follow_the_words(spark, contracts, monkeypatch):
+    """More words give more parts, so that more cores can share them; a number that is named holds."""
+    tokens = spark.range(100).select(F.array_repeat(F.lit("obra"), 9_000).alias("palabras_filtradas"))
+    assert feature_tables.word_parts(tokens) == 9 and feature_tables.word_parts(tokens.limit(0)) == models.WORD_PARTS
+    monkeypatch.setattr(feature_tables, "WORDS_PER_PART", 10)
+
+    def parts(**named):
+        tables = models.FeatureTables.build(contracts, shared_dir(spark, "parts"), w2v=SMALL | named)
+        return next(stage.getNumPartitions() for stage in tables.stages.stages if stage.hasParam("numPartitions"))
+
+    assert parts() > models.WORD_PARTS and parts(numPartitions=3) == 3
+
+
 def test_feature_tables_store_wide_rows_once(spark, contracts, monkeypatch):
     """Only the rows with their tokens are stored on the way; the scaler reads the features without a table of them."""
     removed, real = [], feature_tables.remove_path
