@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -30,8 +32,8 @@ def node_table(spark: SparkSession, model: RandomForestRegressionModel) -> DataF
 def forest_expression(nodes: DataFrame, features: str) -> Column:
     """The forest's prediction as one expression over a vector column.
 
-    The nodes of all trees stand in flat arrays of constants; a walk goes down each tree by looking up feature, threshold and children, as many
-    steps as the deepest tree has levels, and leaves stay where they are. The size of a model is bounded by its trees and depth, not by the data.
+    The nodes of all trees stand in flat arrays; the rows of a batch go down each tree together by looking up feature, threshold and children, as many
+    steps as the tree has levels, and leaves stay where they are. The size of a model is bounded by its trees and depth, not by the data.
     Values are added in the order of the trees, as the model adds them, so both give the same number. A null vector gives null.
     """
     rows = nodes.orderBy("tree", "node").collect()
@@ -45,23 +47,27 @@ def forest_expression(nodes: DataFrame, features: str) -> Column:
             most += 1
         return most
 
-    def constants(values: list, kind: str) -> Column:
-        return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
-
-    feature = constants([0 if r.feature is None else r.feature for r in rows], "int")
-    threshold = constants([0.0 if r.threshold is None else r.threshold for r in rows], "double")
-    left = constants([down.get(i, (i, i))[0] for i in range(len(rows))], "int")
-    right = constants([down.get(i, (i, i))[1] for i in range(len(rows))], "int")
-    value = constants([r.value for r in rows], "double")
-    steps = F.sequence(F.lit(1), F.lit(max(1, max(map(depth, roots)))))
-
-    def walk(x: Column, root: Column) -> Column:
-        def step(at: Column, _: Column) -> Column:
-            return F.when(F.get(x, F.get(feature, at)) <= F.get(threshold, at), F.get(left, at)).otherwise(F.get(right, at))
-
-        return F.get(value, F.aggregate(steps, root, step))
-
-    def forest(x: Column) -> Column:
-        return F.aggregate(constants(roots, "int"), F.lit(0.0), lambda total, root: total + walk(x, root)) / len(roots)
-
-    return F.when(F.col(features).isNotNull(), F.get(F.transform(F.array(vector_to_array(features)), forest), F.lit(0)))
+    feature = np.array([0 if r.feature is None else r.feature for r in rows])
+    threshold = np.array([0.0 if r.threshold is None else r.threshold for r in rows])
+    children = np.array([down.get(i, (i, i)) for i in range(len(rows))])[:, ::-1].ravel()
+    value = np.array([r.value for r in rows])
+    walks = [(root, depth(root)) for root in roots]
+
+    def forest(x: np.ndarray) -> np.ndarray:
+        flat, start, total = x.ravel(), np.arange(len(x)) * x.shape[1], np.zeros(len(x))
+        for root, steps in walks:
+            at = np.full(len(x), root)
+            for _ in range(steps):
+                at = children[2 * at + (flat[start + feature[at]] <= threshold[at])]
+            total += value[at]
+        return total / len(walks)
+
+    @F.arrow_udf("double")
+    def walked(vectors: pa.Array) -> pa.Array:
+        known = vectors.is_valid().to_numpy(zero_copy_only=False)
+        result = np.zeros(len(known))
+        if known.any():
+            result[known] = forest(vectors.flatten().to_numpy(zero_copy_only=False).reshape(known.sum(), -1))
+        return pa.array(result, mask=~known)
+
+    return walked(F.when(F.col(features).isNotNull(), vector_to_array(features)))

@@ -216,6 +216,24 @@ def test_forest_expression_equals_the_model(spark):
     assert none.select(trees.forest_expression(nodes, "v")).first()[0] is None
 
 
+def test_forest_expression_walks_whole_batches(spark):
+    """No step of a walk is run row by row; missing vectors, NaN, infinities and values at a threshold give what the model gives, over several batches."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 9, size=(400, 2)).astype(float)
+    model = models.forest("v", "y", numTrees=5, maxDepth=5).fit(vectors(spark, zip(x, x[:, 0] * x[:, 1])))
+    nodes = trees.node_table(spark, model)
+    at = [r.threshold for r in nodes.where("threshold is not null").select("threshold").distinct().collect()]
+    odd = [float("nan"), float("inf"), float("-inf"), -0.0, *at]
+    later = vectors(spark, [((odd[i % len(odd)], odd[i % 7 % len(odd)]), i) for i in range(25_000)]).repartition(2)
+    scored = model.transform(later).withColumn("own", trees.forest_expression(nodes, "v"))
+    assert "lambda" not in scored._jdf.queryExecution().toString()
+    assert scored.count() == 25_000 and scored.where("own <> prediction or own is null").count() == 0
+    mixed = later.withColumn("v", F.expr("if(y % 3 = 0, null, v)")).withColumn("own", trees.forest_expression(nodes, "v"))
+    assert mixed.where("(v is null) <> (own is null)").count() == 0
+    known = model.transform(mixed.where("v is not null"))
+    assert known.count() > 16_000 and known.where("own <> prediction").count() == 0
+
+
 def test_split_by_category_is_refused(spark):
     from pyspark.ml.feature import VectorIndexer
 
