@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from overspend.operators import encode, feature_tables, models, profile, trees
 from overspend.operators.feature_tables import FeatureTables
+from overspend.plans import fitted
 from overspend.session import shared_dir
 
 SMALL = {"vectorSize": 8, "maxIter": 1}
@@ -234,6 +235,25 @@ def test_forest_expression_walks_whole_batches(spark):
     assert known.count() > 16_000 and known.where("own <> prediction").count() == 0
 
 
+def test_price_rows_of_a_part_are_in_order(spark, tmp_path):
+    """Every line with an order is in one part once, and like rows of a part stand together; long tables have longer parts."""
+    rng = np.random.default_rng(6)
+    lines = [(i % 500, i, float(rng.integers(1, 50)), 0.01 * int(rng.integers(0, 11)), 0.01 * int(rng.integers(0, 9)), int(rng.integers(1, 900)),
+              100.0 + i) for i in range(30_000)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_partkey long, "
+                                 "l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(490).select(F.col("id").alias("o_orderkey"), F.timestamp_seconds(F.col("id") * 86400).alias("o_orderdate")).write.parquet(
+        f"{tmp_path}/orders.parquet")
+    train, test = fitted.price_tables(spark, str(tmp_path))
+    assert sorted(r.l_linenumber for r in train.union(test).collect()) == [i for i in range(30_000) if i % 500 < 490]
+    for rows in (train, test):
+        parts = {}
+        for r in rows.withColumn("file", F.input_file_name()).withColumn("at", F.monotonically_increasing_id()).orderBy("at").collect():
+            parts.setdefault(r.file, []).append(tuple(r[c] for c in fitted.PRICE_FEATURES))
+        assert len(parts) == 2 and all(p == sorted(p) for p in parts.values())
+    assert [fitted.price_parts(n) for n in (0, 1, 600_000, 6_000_000, 216_000_000)] == [1, 1, 24, 60, 2160]
+
+
 def test_split_by_category_is_refused(spark):
     from pyspark.ml.feature import VectorIndexer
 
