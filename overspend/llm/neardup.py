@@ -25,6 +25,10 @@ ROUNDS = 2
 #: Parts of the shingles' range in which the cores of the last members are compared.
 PARTS = 64
 SEGMENT = 1 << 20
+#: Rows of ids that are broadcast at most.
+BROADCAST_ROWS = 1 << 19
+#: Characters of the texts that are worked on together.
+TOGETHER = 1 << 16
 ROLLING = RollingHash()
 
 
@@ -40,61 +44,119 @@ def _segments(raw: bytes):
     yield raw[start:]
 
 
+def _hashed(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, and where it starts."""
+    data = np.frombuffer(raw, np.uint8)
+    blank = np.ones(len(data) + 2, bool)
+    blank[1:-1] = (data == 32) | ((data >= 9) & (data <= 13))
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    return ROLLING.between(ROLLING.prefix(data), starts, ends) + (ends - starts).astype(np.uint64), starts
+
+
 def word_hashes(text: str) -> np.ndarray:
     """A 64-bit hash of each word, A-Z in lower case."""
-    found = []
-    for raw in _segments(text.encode("utf-8", "surrogatepass").lower()):
-        data = np.frombuffer(raw, np.uint8)
-        blank = np.ones(len(data) + 2, bool)
-        blank[1:-1] = (data == 32) | ((data >= 9) & (data <= 13))
-        edges = np.flatnonzero(blank[1:] != blank[:-1])
-        starts, ends = edges[::2], edges[1::2]
-        found.append(ROLLING.between(ROLLING.prefix(data), starts, ends) + (ends - starts).astype(np.uint64))
-    return np.concatenate(found)
+    return np.concatenate([_hashed(raw)[0] for raw in _segments(text.encode("utf-8", "surrogatepass").lower())])
 
 
-def shingles(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct 64-bit shingles: runs of ``words`` words; a shorter text is one shingle, an empty one none."""
-    hashes = word_hashes(text) if text else np.empty(0, np.uint64)
-    if not len(hashes):
-        return hashes
-    size = min(words, len(hashes))
+def _rolled(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of ``size`` words."""
     rolled = np.full(len(hashes) - size + 1, size, np.uint64)
     for k in range(size):
         rolled = mix(rolled * GOLDEN + hashes[k:len(hashes) - size + 1 + k])
-    return np.unique(rolled)
+    return rolled
+
+
+def _groups(texts: list[str | None]):
+    """Positions of the texts that are worked on together: a longer text is alone."""
+    found, chars = [], 0
+    for i, text in enumerate(texts):
+        size = len(text or "")
+        if found and chars + size > TOGETHER:
+            yield found
+            found, chars = [], 0
+        found.append(i)
+        chars += size
+    if found:
+        yield found
+
+
+def shingle_sets(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct 64-bit shingles of each text, one text after the other, and how many each has: runs of ``words`` words; a shorter text is one
+    shingle, an empty one none."""
+    # Each text but the last ends in a blank, so no word crosses texts; a blank ends a word as the end of the text does.
+    raws = [(text or "").encode("utf-8", "surrogatepass") for text in texts]
+    if len(raws) == 1:
+        hashes = word_hashes(texts[0]) if texts[0] else np.empty(0, np.uint64)
+        first = np.array([0, len(hashes)])
+    else:
+        hashes, starts = _hashed(b" ".join(raws).lower())
+        first = np.append(np.searchsorted(starts, np.cumsum([0, *(len(raw) + 1 for raw in raws[:-1])])), len(hashes))
+    runs = _rolled(hashes, words) if len(hashes) >= words else np.empty(0, np.uint64)
+    parts = []
+    for low, high in zip(first[:-1].tolist(), first[1:].tolist()):
+        if high - low >= words:
+            part = runs[low:high - words + 1]
+            part.sort()
+        else:
+            part = _rolled(hashes[low:high], high - low) if high > low else hashes[:0]
+        parts.append(part)
+    sizes = np.array([len(part) for part in parts])
+    items, ends = np.concatenate(parts), np.cumsum(sizes)
+    new = np.ones(len(items), bool)
+    new[1:] = items[1:] != items[:-1]
+    new[(ends - sizes)[sizes > 0]] = True
+    before = np.concatenate([[0], np.cumsum(new)])
+    return items[new], before[ends] - before[ends - sizes]
 
 
-def superminhash(items: np.ndarray, places: int = PLACES) -> np.ndarray:
-    """The signature of a set of 64-bit items: whole numbers whose upper half is the rank."""
-    best = np.full(places, (1 << 64) - 1, np.uint64)
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """The sorted distinct 64-bit shingles of one text."""
+    return shingle_sets([text], words)[0]
+
+
+def superminhashes(items: np.ndarray, owner: np.ndarray, n: int, places: int = PLACES) -> np.ndarray:
+    """The signatures of ``n`` sets of 64-bit items, one row each: whole numbers whose upper half is the rank. ``owner`` is the set of each item."""
+    best = np.full((n, places), (1 << 64) - 1, np.uint64)
     half, low = np.uint64(32), np.uint64((1 << 32) - 1)
     for start in range(0, len(items), 1 << 14):
-        chunk = items[start:start + (1 << 14)]
-        rows, order, first = np.arange(len(chunk)), None, None
+        chunk, own, order, first = items[start:start + (1 << 14)], owner[start:start + (1 << 14)], None, None
         for j in range(places):
-            if best.max() < np.uint64(j << 32):
+            going = (best.max(axis=1) >= np.uint64(j << 32))[own]
+            if not going.all():
+                chunk, own = chunk[going], own[going]
+                if order is not None:
+                    order = order[going]
+                elif first is not None:
+                    first = first[going]
+            if not len(chunk):
                 break
             drawn = mix(chunk + np.uint64((j + 1) * int(GOLDEN) % (1 << 64)))
             at = (j + (((drawn & low) * np.uint64(places - j)) >> half)).astype(np.intp)
             if j == 0:
                 place = first = at
             else:
+                rows = np.arange(len(chunk))
                 if order is None:
                     order = np.tile(np.arange(places, dtype=np.uint8 if places <= 256 else np.int32), (len(chunk), 1))
                     order[rows, first] = 0
                 place = order[rows, at].astype(np.intp)
                 order[rows, at] = order[:, j]
-            np.minimum.at(best, place, np.uint64(j << 32) | (drawn >> half))
+            np.minimum.at(best.reshape(-1), own * places + place, np.uint64(j << 32) | (drawn >> half))
     return best
 
 
+def superminhash(items: np.ndarray, places: int = PLACES) -> np.ndarray:
+    """The signature of one set of 64-bit items."""
+    return superminhashes(items, np.zeros(len(items), np.intp), 1, places)[0]
+
+
 def band_keys(signature: np.ndarray, band: int = BAND) -> np.ndarray:
-    """One 64-bit key per band; the band's number is part of it."""
-    cells = signature.reshape(-1, band)
-    keys = np.arange(1, len(cells) + 1, dtype=np.uint64) * GOLDEN
-    for column in cells.T:
-        keys = mix(keys + column)
+    """One 64-bit key per band, of one signature or of each row of them; the band's number is part of it."""
+    cells = signature.reshape(*signature.shape[:-1], -1, band)
+    keys = np.arange(1, cells.shape[-2] + 1, dtype=np.uint64) * GOLDEN
+    for k in range(band):
+        keys = mix(keys + cells[..., k])
     return keys.view(np.int64)
 
 
@@ -103,11 +165,12 @@ def signatures(df: DataFrame, words: int, key: str = "doc_id", column: str = "te
     def run(batches):
         for batch in batches:
             out = {"id": batch["id"], "n_shingles": [], "set_hash": [], "bands": []}
-            for text in batch["text"]:
-                items = shingles(text, words)
-                out["n_shingles"].append(len(items))
-                out["set_hash"].append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
-                out["bands"].append(band_keys(superminhash(items)) if len(items) else None)
+            for found in _groups(batch["text"]):
+                items, sizes = shingle_sets([batch["text"][i] for i in found], words)
+                keys = band_keys(superminhashes(items, np.repeat(np.arange(len(sizes)), sizes), len(sizes)))
+                out["n_shingles"] += sizes.tolist()
+                out["set_hash"] += [xxhash.xxh3_128_digest(part.tobytes()) if len(part) else None for part in np.split(items, np.cumsum(sizes)[:-1])]
+                out["bands"] += [row if size else None for row, size in zip(keys, sizes.tolist())]
             yield out
 
     rows = df.select(F.col(key).alias("id"), F.col(column).alias("text"))
@@ -118,22 +181,33 @@ def _sets(df: DataFrame, ids: DataFrame, words: int, key: str, column: str) -> D
     """Full shingle sets of the texts to be compared. Rows that repeat id and text are dropped where the join by id has brought them together, before sets exist."""
     def run(batches):
         for batch in batches:
-            yield {"id": batch["id"], "items": [shingles(text, words).view(np.int64) for text in batch["text"]]}
+            items = []
+            for found in _groups(batch["text"]):
+                joined, sizes = shingle_sets([batch["text"][i] for i in found], words)
+                items += np.split(joined.view(np.int64), np.cumsum(sizes)[:-1])
+            yield {"id": batch["id"], "items": items}
 
-    rows = df.select(F.col(key).alias("id"), F.col(column).alias("text")).join(ids, "id", "left_semi").distinct()
+    rows = df.select(F.col(key).alias("id"), F.col(column).alias("text")).join(_bounded(ids), "id", "left_semi").distinct()
     return map_batches(rows, run, "id long, items array<long>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union. The set of ``b`` is moved with the pair; that of ``a``, which may be in very many
+def _bounded(ids: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it is counted to be small: a few ids then pick rows of a large table that stays where it is."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) with 100 * intersection >= percent * union, and the written table of their ids. The set of ``b`` is moved with the pair; that of ``a``, which may be in very many
     pairs, is joined last and goes no further."""
     small = F.least(F.size("items_a"), F.size("items_b"))
     shared = F.size(F.array_intersect("items_a", "items_b"))
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    sets = sets.join(_bounded(ids), "id", "left_semi")
     joined = pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("items_b")), "b").join(
         sets.select(F.col("id").alias("a"), F.col("items").alias("items_a")), "a")
     possible = joined.where(100 * small >= percent * F.greatest(F.size("items_a"), F.size("items_b")))
     sizes = F.size("items_a") + F.size("items_b")
-    return possible.where((100 + percent) * shared >= percent * sizes).select("a", "b")
+    return possible.where((100 + percent) * shared >= percent * sizes).select("a", "b"), ids
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", column: str = "text") -> DataFrame:
@@ -151,7 +225,9 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
     buckets = written(counts, "buckets")
     found = written(exploded.join(buckets, "bucket", "left_semi"), "members")
     release(buckets)
-    sets = written(_sets(df, found.select(F.col("rep").alias("id")).distinct(), words, key, column), "sets")
+    ids = written(found.select(F.col("rep").alias("id")).distinct(), "ids")
+    sets = written(_sets(df, ids, words, key, column), "sets")
+    release(ids)
     cores = written(_cores(sets), "cores")
     members = written(found.join(cores, "rep"), "members")
     release(found, cores)
@@ -179,7 +255,9 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
     else:
         opened.append(_open(opened[-1], roots, sets, percent))
         if opened[-1].limit(1).count():
-            links, tried, roots = _compared(_rest(opened[-1], percent), links, tried, sets, percent)
+            pairs, known = _rest(opened[-1], sets, percent)
+            links, tried, roots = _compared(pairs, links, tried, sets, percent)
+            release(known)
     release(sets, *opened, *tried)
 
     same_key = base.where("set_hash is not null and id is not null").join(classes.select("set_hash", "rep"), "set_hash").select("id", "rep")
@@ -196,7 +274,9 @@ def _compared(pairs: DataFrame, links: list[DataFrame], tried: list[DataFrame],
         turned = before.select(F.col("a").alias("b"), F.col("b").alias("a"))
         pairs = pairs.join(before, ["a", "b"], "left_anti").join(turned, ["a", "b"], "left_anti")
     pairs = written(pairs, "pairs")
-    links = [*links, written(_verified(pairs, sets, percent), "links")]
+    linked, ids = _verified(pairs, sets, percent)
+    links = [*links, written(linked, "links")]
+    release(ids)
     return links, [*tried, pairs], written(components(_union(links)), "roots")
 
 
@@ -209,16 +289,27 @@ def _cores(sets: DataFrame) -> DataFrame:
     return sizes.join(private, "rep", "left").select("rep", "size", F.greatest(F.lit(1), F.col("core") - F.coalesce("private", F.lit(0))).alias("core"))
 
 
-def _parted_cores(sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """(rep, size, core, parts) where the core is what occurs outside of the set's component too, and ``parts`` counts it by parts of the shingles'
-    range. Two sets share at most the sum, over the parts, of the smaller counts."""
-    items = sets.select("id", F.explode("items").alias("item")).join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+def _outer(sets: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sets of some members, with their component; (rep, item) of the shingles that occur in another component's sets too, once for each set; and the
+    written table of the members' ids."""
+    reps = written(members.select(F.col("rep").alias("id"), "root").distinct(), "reps")
+    held = sets.join(_bounded(reps), "id")
+    items = held.select("id", "root", F.explode("items").alias("item"))
     outer = items.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("item")
-    part = F.pmod("item", F.lit(PARTS))
-    counts = (items.join(outer, "item", "left_semi").groupBy(F.col("id").alias("rep"))
-              .agg(F.count("*").alias("core"), *[F.count_if(part == k).cast("int").alias(f"p{k}") for k in range(PARTS)]))
-    sizes = sets.groupBy(F.col("id").alias("rep")).agg(F.min(F.size("items")).cast("long").alias("size"))
-    return sizes.join(counts, "rep").select("rep", "size", "core", F.array(*[f"p{k}" for k in range(PARTS)]).alias("parts"))
+    return held, items.join(outer, "item", "left_semi").select(F.col("id").alias("rep"), "item"), reps
+
+
+def _outer_cores(held: DataFrame, outer: DataFrame) -> DataFrame:
+    """(rep, size, core) where the core is what occurs outside of the set's component too."""
+    sizes = held.groupBy(F.col("id").alias("rep")).agg(F.min(F.size("items")).cast("long").alias("size"))
+    return sizes.join(outer.groupBy("rep").agg(F.count("*").alias("core")), "rep").select("rep", "size", "core")
+
+
+def _parts(outer: DataFrame) -> DataFrame:
+    """(rep, parts): the core counted by parts of the shingles' range. Two sets share at most the sum, over the parts, of the smaller counts."""
+    counts = outer.groupBy("rep", F.pmod("item", F.lit(PARTS)).cast("int").alias("part")).agg(F.count("*").cast("int").alias("n"))
+    listed = counts.groupBy("rep").agg(F.map_from_entries(F.collect_list(F.struct("part", "n"))).alias("by"))
+    return listed.select("rep", F.array(*[F.coalesce(F.col("by")[k], F.lit(0)) for k in range(PARTS)]).alias("parts"))
 
 
 def _possible(size_a, core_a, size_b, core_b, percent: int):
@@ -230,38 +321,52 @@ def _possible(size_a, core_a, size_b, core_b, percent: int):
 def _open(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Members, with their component, that may be linked to a member of another component in their bucket.
 
-    A bucket is summed up by classes of size, each 2 % wide, with its largest core; a member stays if some class could hold a partner. Components only grow and
-    cores only shrink, and both ends of a possible link stay, so ``members`` may be what an earlier call left open.
+    A bucket is summed up by classes of size, each 2 % wide, with its largest core and the largest one outside of that one's component; a member stays if some
+    class could hold a partner. Components only grow and cores only shrink, and both ends of a possible link stay, so ``members`` may be what an earlier call
+    left open.
     """
     known = members.select("bucket", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     rooted = known = written(known, "rooted")
     mixed = known.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
     mixed = known = written(known.join(mixed, "bucket", "left_semi"), "mixed")
     release(rooted)
-    held = sets.join(known.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-    cores = written(_parted_cores(held, roots), "cores")
-    known = written(known.join(cores, "rep"), "mixed")
-    release(mixed, cores)
-    classes = known.groupBy("bucket", F.floor(F.log("size") * 50).alias("class")).agg(
-        F.min("size").alias("least"), F.max("core").alias("most"), F.min("root").alias("low"), F.max("root").alias("high"))
-    shared = F.least("core", "most")
-    fits = ((known["bucket"] == classes["bucket"]) & ((F.col("low") != F.col("root")) | (F.col("high") != F.col("root")))
-            & ((100 + percent) * shared >= percent * (F.col("size") + F.col("least"))))
-    still_open = written(known.join(classes, fits, "left_semi"), "open")
-    release(known)
+    held, outer, reps = _outer(sets, known)
+    cores = written(_outer_cores(held, outer), "cores")
+    known = written(known.join(cores, "rep").withColumn("class", F.floor(F.log("size") * 50)), "mixed")
+    release(mixed, reps, cores)
+    place = ["bucket", "class"]
+    classes = known.groupBy(*place).agg(F.min("size").alias("least"), F.max("core").alias("most"), F.max_by("root", "core").alias("of"))
+    others = known.join(classes, place).where(F.col("root") != F.col("of")).groupBy(*place).agg(F.max("core").alias("next"))
+    classes = written(classes.join(others, place, "left").select(F.col("bucket").alias("same"), "least", "most", "of", "next"), "classes")
+    # Without a next one, the class is of one component.
+    shared = F.least("core", F.when(F.col("of") != F.col("root"), F.col("most")).otherwise(F.coalesce("next", F.lit(0))))
+    fits = (F.col("bucket") == F.col("same")) & ((100 + percent) * shared >= percent * (F.col("size") + F.col("least")))
+    still_open = written(known.join(classes, fits, "left_semi").drop("class"), "open")
+    release(known, classes)
     return still_open
 
 
-def _rest(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that belong to different components and may be linked. The bound by parts is applied inside the join, so that few pairs leave it."""
+def _rest(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of a bucket that belong to different components and may be linked, and the written table they are read from.
+
+    The bound by parts is applied inside the join, so that few pairs leave it. One side leaves out the largest component of each bucket, whose members need not be compared with
+    each other.
+    """
+    _, outer, reps = _outer(sets, members)
+    parts = written(_parts(outer), "parts")
+    known = written(members.join(parts, "rep"), "rest")
+    release(reps, parts)
+    counts = known.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    main = counts.groupBy("bucket").agg(F.max_by("root", "n").alias("main"))
     fields = ("rep", "root", "size", "core", "parts")
-    left = members.select("bucket", *[F.col(c).alias(f"{c}_a") for c in fields])
-    right = members.select(F.col("bucket").alias("same"), *[F.col(c).alias(f"{c}_b") for c in fields])
-    shared = sum((F.least(F.get("parts_a", F.lit(k)), F.get("parts_b", F.lit(k))) for k in range(PARTS)), F.lit(0))
-    fits = ((F.col("bucket") == F.col("same")) & (F.col("root_a") < F.col("root_b"))
+    left = known.join(main, "bucket").where(F.col("root") != F.col("main")).select("bucket", "main", *[F.col(c).alias(f"{c}_a") for c in fields])
+    right = known.select(F.col("bucket").alias("same"), *[F.col(c).alias(f"{c}_b") for c in fields])
+    shared = F.aggregate(F.zip_with("parts_a", "parts_b", lambda a, b: F.least(a, b)), F.lit(0), lambda total, least: total + least)
+    fits = ((F.col("bucket") == F.col("same")) & ((F.col("root_a") < F.col("root_b")) | ((F.col("root_a") > F.col("root_b")) & (F.col("root_b") == F.col("main"))))
             & _possible(F.col("size_a"), F.col("core_a"), F.col("size_b"), F.col("core_b"), percent)
             & ((100 + percent) * shared >= percent * (F.col("size_a") + F.col("size_b"))))
-    return left.join(right, fits).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+    pairs = left.join(right, fits).select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
+    return pairs, known
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

@@ -88,6 +88,50 @@ def test_signatures_estimate_similarity():
     assert (parts == neardup.superminhash(items)).all()
 
 
+def test_texts_together_have_the_signatures_they_have_alone():
+    rng = random.Random(11)
+    texts = [None, "", " \n", "a", "A b", "a b c d", "É b\x0bc\x0cd e", prose(rng, 3000), *(prose(rng, n) for n in range(0, 60, 3)), "x " * 200, "tail "]
+    together, sizes = neardup.shingle_sets(texts, 4)
+    signed = neardup.superminhashes(together, np.repeat(np.arange(len(texts)), sizes), len(texts))
+    keys = neardup.band_keys(signed)
+    for text, part, signature, key in zip(texts, np.split(together, np.cumsum(sizes)[:-1]), signed, keys):
+        alone = neardup.shingles(text, 4)
+        assert len(alone) == len(shingle_set(text or "", 4)) and np.array_equal(part, alone)
+        assert np.array_equal(signature, neardup.superminhash(alone)) and np.array_equal(key, neardup.band_keys(signature))
+    assert sorted(i for part in neardup._groups([*texts, "y " * neardup.TOGETHER, "z"]) for i in part) == list(range(len(texts) + 2))
+
+
+def _last_members(spark, sets, members, roots):
+    """Arguments of the last rounds, from items by id, (bucket, id) and (id, root)."""
+    held = spark.createDataFrame([(i, sorted(items)) for i, items in sets.items()], "id long, items array<long>")
+    return spark.createDataFrame(members, "bucket long, rep long"), spark.createDataFrame(roots, "id long, root long"), held
+
+
+def test_a_group_does_not_stay_open_for_its_own_members(spark):
+    """Ten sets of one component are much like a set elsewhere, but the only other member of their bucket shares a fifth with them."""
+    sets = {i: {*range(100), 1000 + i} for i in range(1, 11)}
+    sets |= {50: {*range(20), *range(2000, 2080)}, 60: {*range(100)}, 61: {*range(3000, 3100)}}
+    members, roots, held = _last_members(spark, sets, [*((1, i) for i in [*range(1, 11), 50]), (2, 60), (2, 61)], [(i, 1) for i in range(1, 11)])
+    assert neardup._open(members, roots, held, 80).count() == 0
+    sets[50] = {*range(95), *range(2000, 2005)}
+    members, roots, held = _last_members(spark, sets, [*((1, i) for i in [*range(1, 11), 50]), (2, 60), (2, 61)], [(i, 1) for i in range(1, 11)])
+    assert {r.rep for r in neardup._open(members, roots, held, 80).collect()} == {*range(1, 11), 50}
+
+
+def test_rest_gives_each_pair_of_components_that_may_be_linked(spark):
+    rng = random.Random(5)
+    sets = {i: {*rng.sample(range(110), 98)} for i in range(40)}
+    roots = {i: i if i > 25 else i % 3 * (i % 2) for i in range(40)}
+    roots = {i: min(j for j in roots if roots[j] == r) for i, r in roots.items()}
+    members, given, held = _last_members(spark, sets, [(b, i) for b in range(3) for i in range(40)], list(roots.items()))
+    still = neardup._open(members, given, held, 80)
+    pairs, _ = neardup._rest(still, held, 80)
+    found = [(r.a, r.b) for r in pairs.collect()]
+    assert len(found) == len(set(found)) and all(a < b and roots[a] != roots[b] for a, b in found)
+    alike = {(a, b) for a in sets for b in sets if a < b and roots[a] != roots[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert alike and alike <= set(found)
+
+
 def test_shingles_are_words_of_ascii_lower_case():
     assert len(neardup.shingles("A b\tC  d\ne", 4)) == 2 and (neardup.shingles("A b C d e", 4) == neardup.shingles("a B c D E", 4)).all()
     assert not np.array_equal(neardup.shingles("É b c d", 4), neardup.shingles("é b c d", 4))
